@@ -4,10 +4,17 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from helmtrack.llm import bpe
+from helmtrack.llm import bpe, exact_dedup, packing
 from helmtrack.llm.common import read
 
 TOKENIZER = "byte_bpe_50k.json"
+#: Fixed value: the id that ends a document in a packed sequence.
+END_ID = 1
+
+
+def op2_nnls_packing(spark, sf_dir):
+    """All documents cut into pieces of sequences of at most 2048 tokens."""
+    return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), END_ID, 2048)
 
 
 def op4_bpe_round_trip(spark, sf_dir):
@@ -15,9 +22,26 @@ def op4_bpe_round_trip(spark, sf_dir):
     return bpe.bpe_round_trip_digest(read(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op9_exact_dedup(spark, sf_dir):
+    """The group of equal texts of every document, and which one stays."""
+    found = exact_dedup.exact_dedup(read(spark, sf_dir, "documents"), keep="largest")
+    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+OP9_SQL = """
+WITH n AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+), g AS (
+  SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY t
+)
+SELECT n.doc_id AS doc_id, g.keep_id AS keep_id, g.group_size AS group_size, n.doc_id = g.keep_id AS kept, sha256(n.t) AS text_sha256
+FROM n JOIN g ON n.t = g.t
+"""
+
+
 def queries() -> dict:
-    return {"op4_bpe_round_trip": op4_bpe_round_trip}
+    return {"op2_nnls_packing": op2_nnls_packing, "op4_bpe_round_trip": op4_bpe_round_trip, "op9_exact_dedup": op9_exact_dedup}
 
 
 def oracle_sql() -> dict:
-    return {}
+    return {"op9_exact_dedup": OP9_SQL}
