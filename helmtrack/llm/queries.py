@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from helmtrack.llm import bpe, exact_dedup, packing
+from helmtrack.llm import bpe, exact_dedup, langid, packing, toxicity
 from helmtrack.llm.common import read
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -22,6 +22,16 @@ def op4_bpe_round_trip(spark, sf_dir):
     return bpe.bpe_round_trip_digest(read(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op5_language_codes(spark, sf_dir):
+    """The language of every whole text, learned outside the held-out fold."""
+    return langid.language_held_out(read(spark, sf_dir, "documents"))
+
+
+def op6_toxicity(spark, sf_dir):
+    """A toxicity score of every whole text, learned outside the held-out fold."""
+    return toxicity.toxicity_held_out(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op9_exact_dedup(spark, sf_dir):
     """The group of equal texts of every document, and which one stays."""
     found = exact_dedup.exact_dedup(read(spark, sf_dir, "documents"), keep="largest")
@@ -40,7 +50,8 @@ FROM n JOIN g ON n.t = g.t
 
 
 def queries() -> dict:
-    return {"op2_nnls_packing": op2_nnls_packing, "op4_bpe_round_trip": op4_bpe_round_trip, "op9_exact_dedup": op9_exact_dedup}
+    found = (op2_nnls_packing, op4_bpe_round_trip, op5_language_codes, op6_toxicity, op9_exact_dedup)
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict:
