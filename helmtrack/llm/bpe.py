@@ -29,7 +29,9 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 #: Bytes of text that are encoded together.
-BLOCK_BYTES = 12_000_000
+BLOCK_BYTES = 4_000_000
+#: Rows of an Arrow batch that are dealt with at a time.
+SLICE_ROWS = 1000
 #: Fixed value: the pattern by which byte-level pre-tokenizers split.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -187,34 +189,51 @@ def coder(path: str) -> BoundaryBPE:
     return BoundaryBPE(path)
 
 
-def _mapped(df: DataFrame, source: str, out: str, function) -> DataFrame:
-    """``df`` with the binary column ``out``: ``function`` of the list of values of ``source``."""
-    keep = [c for c in df.columns if c != out]
-    df = df.select(*keep) if source != out else df
-    schema = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep) + f", `{out}` binary"
+def _mapped(df: DataFrame, steps: list) -> DataFrame:
+    """``df`` with binary columns added in one pass over slices of its rows. steps: (source, out, function
+    of the list of source values); a source may be an earlier step's out."""
+    outs = [out for _, out, _ in steps]
+    keep = [c for c in df.columns if c not in outs]
+    schema = ", ".join([f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep] + [f"`{out}` binary" for out in outs])
 
     def run(batches):
         for batch in batches:
-            columns = [batch.column(c) for c in keep] + [pa.array(function(batch.column(source).to_pylist()), pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*keep, out])
+            for start in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(start, SLICE_ROWS)
+                found = {}
+                for source, out, function in steps:
+                    found[out] = function(found[source] if source in found else part.column(source).to_pylist())
+                yield pa.RecordBatch.from_arrays([part.column(c) for c in keep] + [pa.array(found[c], pa.binary()) for c in outs], names=keep + outs)
 
     return df.mapInArrow(run, schema)
 
 
+def _encoding(tokenizer: str):
+    return lambda values: coder(tokenizer).encode_many([(v or "").encode() for v in values])
+
+
+def _decoding(tokenizer: str):
+    return lambda values: [coder(tokenizer).decode(v or b"") for v in values]
+
+
 def bpe_encode(df: DataFrame, tokenizer: str, text: str = "text", out: str = "ids_le") -> DataFrame:
     """Adds ``out``: the ids of ``text`` as little-endian unsigned 32-bit integers in one binary value."""
-    return _mapped(df, text, out, lambda values: coder(tokenizer).encode_many([(v or "").encode() for v in values]))
+    return _mapped(df, [(text, out, _encoding(tokenizer))])
 
 
 def bpe_decode(df: DataFrame, tokenizer: str, ids: str = "ids_le", out: str = "decoded") -> DataFrame:
     """Adds ``out``: the text of ``ids`` in UTF-8, as a binary value."""
-    return _mapped(df, ids, out, lambda values: [coder(tokenizer).decode(v or b"") for v in values])
+    return _mapped(df, [(ids, out, _decoding(tokenizer))])
+
+
+def bpe_round_trip(df: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:
+    """Adds ``ids_le`` and, decoded from it, ``decoded``, with one worker for both."""
+    return _mapped(df, [(text, "ids_le", _encoding(tokenizer)), ("ids_le", "decoded", _decoding(tokenizer))])
 
 
 def bpe_round_trip_digest(documents: DataFrame, tokenizer: str) -> DataFrame:
     """Per document: n_tokens, and digests of its ids and of the text decoded from them."""
-    coded = bpe_encode(documents.select("doc_id", "text"), tokenizer).select("doc_id", "ids_le")
-    back = bpe_decode(coded, tokenizer)
+    back = bpe_round_trip(documents.select("doc_id", "text"), tokenizer)
     return back.select(
         "doc_id",
         F.expr("CAST(octet_length(ids_le) / 4 AS BIGINT)").alias("n_tokens"),
