@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from helmtrack.llm import bpe, exact_dedup, langid, packing, toxicity
+from helmtrack.llm import bpe, exact_dedup, langid, lm_score, packing, suffix_dedup, toxicity
 from helmtrack.llm.common import read
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -17,6 +18,12 @@ def op2_nnls_packing(spark, sf_dir):
     return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), END_ID, 2048)
 
 
+def op3_suffix_dedup(spark, sf_dir):
+    """Every document without the 50-byte strings that start in an earlier one, as digests."""
+    found = suffix_dedup.remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op4_bpe_round_trip(spark, sf_dir):
     """Ids of every whole text and the text decoded from them, as digests."""
     return bpe.bpe_round_trip_digest(read(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
@@ -38,6 +45,40 @@ def op9_exact_dedup(spark, sf_dir):
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op10_backoff_scores(spark, sf_dir):
+    """Stupid-backoff scores of every document under counts of all documents; logarithms to 4 places."""
+    found = lm_score.lm_scores(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_tokens", F.round("log_score", 4).alias("log_score"), F.round("mean_log_score", 4).alias("mean_log_score"))
+
+
+OP10_SQL = """
+WITH lowered AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+), split AS (
+  SELECT doc_id, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS words FROM lowered
+), placed AS (
+  SELECT doc_id, unnest(words) AS w, unnest(range(len(words))) AS i FROM split
+), paired AS (
+  SELECT a.doc_id AS doc_id, a.w AS w, b.w AS h FROM placed a LEFT JOIN placed b ON a.doc_id = b.doc_id AND a.i = b.i + 1
+), one AS (
+  SELECT w, count(*) AS n FROM placed GROUP BY w
+), two AS (
+  SELECT h, w, count(*) AS n FROM paired WHERE h IS NOT NULL GROUP BY h, w
+), total AS (
+  SELECT count(*) AS n FROM placed
+), scored AS (
+  SELECT p.doc_id AS doc_id,
+    ln(CASE WHEN p.h IS NULL THEN CAST(ow.n AS DOUBLE) / t.n
+            WHEN two.n >= 2 THEN CAST(two.n AS DOUBLE) / oh.n
+            ELSE 0.4 * ow.n / t.n END) AS s
+  FROM paired p CROSS JOIN total t JOIN one ow ON p.w = ow.w LEFT JOIN one oh ON p.h = oh.w LEFT JOIN two ON p.h = two.h AND p.w = two.w
+), summed AS (
+  SELECT doc_id, count(*) AS n, sum(s) AS s FROM scored GROUP BY doc_id
+)
+SELECT d.doc_id AS doc_id, coalesce(x.n, 0) AS n_tokens, round(coalesce(x.s, 0.0), 4) AS log_score, round(x.s / x.n, 4) AS mean_log_score
+FROM documents d LEFT JOIN summed x ON d.doc_id = x.doc_id
+"""
+
 OP9_SQL = """
 WITH n AS (
   SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
@@ -50,9 +91,9 @@ FROM n JOIN g ON n.t = g.t
 
 
 def queries() -> dict:
-    found = (op2_nnls_packing, op4_bpe_round_trip, op5_language_codes, op6_toxicity, op9_exact_dedup)
+    found = (op2_nnls_packing, op3_suffix_dedup, op4_bpe_round_trip, op5_language_codes, op6_toxicity, op9_exact_dedup, op10_backoff_scores)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict:
-    return {"op9_exact_dedup": OP9_SQL}
+    return {"op9_exact_dedup": OP9_SQL, "op10_backoff_scores": OP10_SQL}
