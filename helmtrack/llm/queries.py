@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from helmtrack.llm import bpe, exact_dedup, langid, lm_score, packing, suffix_dedup, toxicity
+from helmtrack.llm import bpe, exact_dedup, jaccard, langid, lm_score, packing, suffix_dedup, toxicity
 from helmtrack.llm.common import read
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -39,6 +39,11 @@ def op6_toxicity(spark, sf_dir):
     return toxicity.toxicity_held_out(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op8_jaccard_join(spark, sf_dir):
+    """The component of every document under links of 4-word shingle similarity 0.85 or more."""
+    return jaccard.jaccard_components(read(spark, sf_dir, "documents"), k=4, num=85, den=100)
+
+
 def op9_exact_dedup(spark, sf_dir):
     """The group of equal texts of every document, and which one stays."""
     found = exact_dedup.exact_dedup(read(spark, sf_dir, "documents"), keep="largest")
@@ -91,7 +96,7 @@ FROM n JOIN g ON n.t = g.t
 
 
 def queries() -> dict:
-    found = (op2_nnls_packing, op3_suffix_dedup, op4_bpe_round_trip, op5_language_codes, op6_toxicity, op9_exact_dedup, op10_backoff_scores)
+    found = (op2_nnls_packing, op3_suffix_dedup, op4_bpe_round_trip, op5_language_codes, op6_toxicity, op8_jaccard_join, op9_exact_dedup, op10_backoff_scores)
     return {f.__name__: f for f in found}
 
 
