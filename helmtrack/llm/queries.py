@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from helmtrack.llm import bpe, exact_dedup, jaccard, langid, lm_score, packing, suffix_dedup, toxicity
+from helmtrack.llm import bpe, chat, exact_dedup, jaccard, langid, lm_score, packing, suffix_dedup, toxicity
 from helmtrack.llm.common import read
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -13,6 +13,18 @@ TOKENIZER = "byte_bpe_50k.json"
 END_ID = 1
 
 
+def op1_chat_tool_calls(spark, sf_dir):
+    """All turns of all conversations as linked, ordered and validated calls in canonical JSON."""
+    return chat.linked_turns(read(spark, sf_dir, "conversations"))
+
+
+def pipeline(spark, sf_dir):
+    """The stages of the corpus pipeline over all documents."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def op2_nnls_packing(spark, sf_dir):
     """All documents cut into pieces of sequences of at most 2048 tokens."""
     return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), END_ID, 2048)
@@ -84,6 +96,50 @@ SELECT d.doc_id AS doc_id, coalesce(x.n, 0) AS n_tokens, round(coalesce(x.s, 0.0
 FROM documents d LEFT JOIN summed x ON d.doc_id = x.doc_id
 """
 
+OP1_SQL = """
+WITH asked AS (
+  SELECT conv_id, turn, role, text FROM conversations WHERE role IN ('user', 'system') AND conv_id IS NOT NULL AND turn IS NOT NULL
+), turns AS (
+  SELECT DISTINCT conv_id, turn FROM asked
+), up AS (
+  SELECT t.conv_id AS conv_id, t.turn AS turn, coalesce(o.turn, w.turn) AS before
+  FROM turns t LEFT JOIN turns o ON t.conv_id = o.conv_id AND t.turn = o.turn + 1 LEFT JOIN turns w ON t.conv_id = w.conv_id AND t.turn = w.turn + 2
+), starts AS (
+  SELECT conv_id, turn, CASE WHEN before IS NULL THEN 1 ELSE 0 END AS first FROM up
+), runs AS (
+  SELECT conv_id, turn, sum(first) OVER (PARTITION BY conv_id ORDER BY turn) AS run FROM starts
+), placed AS (
+  SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id, run ORDER BY turn) - 1 AS level FROM runs
+), calls AS (
+  SELECT conv_id, turn, min(CASE WHEN role = 'user' THEN 'reply' ELSE 'configure' END) AS name, count(*) AS n_calls FROM asked GROUP BY conv_id, turn
+), arguments AS (
+  SELECT c.conv_id AS conv_id, c.turn AS turn, min(a.text) AS text
+  FROM calls c JOIN asked a ON c.conv_id = a.conv_id AND c.turn = a.turn AND c.name = CASE WHEN a.role = 'user' THEN 'reply' ELSE 'configure' END GROUP BY c.conv_id, c.turn
+), results AS (
+  SELECT conv_id, turn - 1 AS turn, min(text) AS content, count(*) AS n_results FROM conversations WHERE role = 'assistant' AND conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY conv_id, turn
+), joined AS (
+  SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.turn, r.turn) AS turn, c.name AS name, c.n_calls AS n_calls, r.n_results AS n_results, a.text AS text, r.content AS content,
+    p.level AS level, u.before AS before,
+    CASE WHEN c.name IS NULL THEN NULL ELSE concat_ws('; ',
+      CASE WHEN length(a.text) < 1 THEN 'text: too short' END,
+      CASE WHEN length(a.text) > CASE WHEN c.name = 'reply' THEN 400 ELSE 300 END THEN 'text: too long' END,
+      CASE WHEN a.text IS NULL THEN 'text: missing' END,
+      CASE WHEN c.turn < 0 THEN 'turn: too small' END,
+      CASE WHEN c.name = 'configure' AND c.turn > 0 THEN 'turn: too large' END) END AS errors
+  FROM calls c LEFT JOIN arguments a ON c.conv_id = a.conv_id AND c.turn = a.turn LEFT JOIN placed p ON c.conv_id = p.conv_id AND c.turn = p.turn
+  LEFT JOIN up u ON c.conv_id = u.conv_id AND c.turn = u.turn FULL JOIN results r ON c.conv_id = r.conv_id AND c.turn = r.turn
+)
+SELECT conv_id, 'call_' || turn AS call_id, level,
+  CASE WHEN name IS NULL THEN 'orphan' WHEN n_results IS NULL THEN 'pending' WHEN errors <> '' THEN 'invalid' ELSE 'linked' END AS status,
+  coalesce(n_calls, 0) AS n_calls, coalesce(n_results, 0) AS n_results,
+  CASE WHEN coalesce(errors, '') = '' THEN 0 ELSE len(string_split(errors, '; ')) END AS n_errors, errors,
+  '{"after":' || coalesce('"call_' || before || '"', 'null')
+    || ',"arguments":' || CASE WHEN name IS NULL THEN 'null' WHEN text IS NULL THEN '{"turn":' || turn || '}' ELSE '{"text":' || CAST(to_json(text) AS VARCHAR) || ',"turn":' || turn || '}' END
+    || ',"id":"call_' || turn || '","level":' || coalesce(CAST(level AS VARCHAR), 'null')
+    || ',"name":' || coalesce('"' || name || '"', 'null') || ',"result":' || coalesce(CAST(to_json(content) AS VARCHAR), 'null') || '}' AS record
+FROM joined
+"""
+
 OP9_SQL = """
 WITH n AS (
   SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
@@ -96,9 +152,9 @@ FROM n JOIN g ON n.t = g.t
 
 
 def queries() -> dict:
-    found = (op2_nnls_packing, op3_suffix_dedup, op4_bpe_round_trip, op5_language_codes, op6_toxicity, op8_jaccard_join, op9_exact_dedup, op10_backoff_scores)
+    found = (op1_chat_tool_calls, op2_nnls_packing, op3_suffix_dedup, op4_bpe_round_trip, op5_language_codes, op6_toxicity, op8_jaccard_join, op9_exact_dedup, op10_backoff_scores, pipeline)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict:
-    return {"op9_exact_dedup": OP9_SQL, "op10_backoff_scores": OP10_SQL}
+    return {"op1_chat_tool_calls": OP1_SQL, "op9_exact_dedup": OP9_SQL, "op10_backoff_scores": OP10_SQL}
