@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from helmtrack.llm import bpe, chat, exact_dedup, jaccard, langid, lm_score, packing, suffix_dedup, toxicity
+from helmtrack.llm import ann, bpe, chat, exact_dedup, jaccard, langid, lm_score, packing, suffix_dedup, toxicity
 from helmtrack.llm.common import read
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -51,6 +51,12 @@ def op6_toxicity(spark, sf_dir):
     return toxicity.toxicity_held_out(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op7_nn_descent(spark, sf_dir):
+    """The 5 nearest vectors of every vector whose identifier is divisible by 50, found in the graph."""
+    rows = read(spark, sf_dir, "embeddings")
+    return ann.nearest(rows, F.col("vec_id") % 50 == 0, k=5)
+
+
 def op8_jaccard_join(spark, sf_dir):
     """The component of every document under links of 4-word shingle similarity 0.85 or more."""
     return jaccard.jaccard_components(read(spark, sf_dir, "documents"), k=4, num=85, den=100)
@@ -152,7 +158,7 @@ FROM n JOIN g ON n.t = g.t
 
 
 def queries() -> dict:
-    found = (op1_chat_tool_calls, op2_nnls_packing, op3_suffix_dedup, op4_bpe_round_trip, op5_language_codes, op6_toxicity, op8_jaccard_join, op9_exact_dedup, op10_backoff_scores, pipeline)
+    found = (op1_chat_tool_calls, op2_nnls_packing, op3_suffix_dedup, op4_bpe_round_trip, op5_language_codes, op6_toxicity, op7_nn_descent, op8_jaccard_join, op9_exact_dedup, op10_backoff_scores, pipeline)
     return {f.__name__: f for f in found}
 
 
