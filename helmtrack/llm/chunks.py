@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from helmtrack.llm.common import written
 
 #: Text bytes of a chunk, unless one document has more; chunk bytes for which there is one bucket.
-CHUNK_BYTES, BUCKET_BYTES = 2_000_000, 4_000_000
+CHUNK_BYTES, BUCKET_BYTES = 1_000_000, 4_000_000
 
 
 def _sealed(batches, size: int):
@@ -30,7 +30,7 @@ def _sealed(batches, size: int):
         nonlocal number, held, held_bytes
         table = pa.Table.from_batches(held).combine_chunks()
         sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=4))) as out:
             out.write_table(table)
         row = pa.RecordBatch.from_arrays(
             [pa.array([part << 32 | number]), pa.array([held_bytes]), pa.array([sink.getvalue().to_pybytes()], pa.binary())],

@@ -40,13 +40,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-_packer = zstandard.ZstdCompressor(level=1)
+_packer, _thorough = zstandard.ZstdCompressor(level=1), zstandard.ZstdCompressor(level=4)
 _unpacker = zstandard.ZstdDecompressor()
 
 
-def pack(array: np.ndarray) -> bytes:
+def pack(array: np.ndarray, thorough: bool = False) -> bytes:
     """An array as compressed bytes."""
-    return _packer.compress(np.ascontiguousarray(array).tobytes())
+    return (_thorough if thorough else _packer).compress(np.ascontiguousarray(array).tobytes())
 
 
 def unpack(data: bytes, dtype) -> np.ndarray:

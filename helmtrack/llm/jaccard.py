@@ -6,11 +6,14 @@ equal in at least one of them, so a set enters one tile for each of its parts, k
 No pair of similar sets is missed, and a shingle that very many documents hold doesn't bring them together
 unless the rest of the part is equal too.
 
-Equal sets are one class from the start. In a tile, each class is first compared with the least one: hashed
-bitmaps bound the overlap from above by bit counts, then the sorted arrays are intersected. Where all are
-similar, the tile is done: its classes are connected. Only tiles with a failed comparison and members in
-different components have all their pairs across components compared, in blocks of bounded size. So the
-links found connect just what all links would connect, without emitting all pairs of a group of copies.
+Equal sets are one class from the start. Classes that meet in tiles form families, mostly small, and each
+member's text travels once, to its family: there hashed bitmaps bound the overlap of a pair from above by
+bit counts, and what passes is decided by intersecting the sorted arrays. A pair that is connected already
+isn't compared. Families of more than FAMILY classes or FAMILY_SHINGLES shingles are not gathered: in each
+of their tiles, each class is compared with the least one, in blocks of bounded size. Where all are similar,
+the tile is done: its classes are connected. Only tiles with a failed comparison and members in different
+components have all their pairs across components compared, again in blocks. So the links found connect
+just what all links would connect, without emitting all pairs of a group of copies.
 
 Defined results: a null text and one without words have an empty set, linked with nothing. A document of
 fewer words than a shingle has its whole sequence as one shingle. Rows with a null identifier are in their
@@ -35,6 +38,10 @@ from helmtrack.llm.words import joined_hashes, mixed, word_hashes
 
 #: Text bytes whose shingles are hashed together; members of a block of comparisons.
 SLICE_BYTES, BLOCK = 3_000_000, 256
+#: Classes and shingles of a family that one task takes.
+FAMILY, FAMILY_SHINGLES = 1024, 2_000_000
+#: Bits of a tile key within its bucket; a chance collision only costs a comparison.
+KEY_BITS = 40
 #: Text bytes for which there is one bucket of tile keys.
 BUCKET_BYTES = 16_000_000
 
@@ -133,14 +140,16 @@ def _keyed(batches, k: int, threshold: Threshold, bits: int):
         yield from arrow_rows(rows, _KEYED).to_batches()
         if not keys:
             continue
-        every, owner, table = np.concatenate(keys), np.concatenate(owners), np.array(list(seen), np.uint64)
+        low = np.uint64(64 - bits - KEY_BITS)
+        every, owner, table = np.concatenate(keys) >> low << low, np.concatenate(owners), np.array(list(seen), np.uint64)
         order = np.argsort(every, kind="stable")
         every, owner = every[order], owner[order]
         out = []
         for b, i, j in by_bucket(every, bits):
             used, local = np.unique(owner[i:j], return_inverse=True)
-            body = pack(np.frombuffer(table[used].tobytes() + local.astype("<u4").tobytes(), np.uint8))
-            out.append((b, None, len(used), None, None, pack_sorted(every[i:j]), body))
+            kind = "<u2" if len(used) <= 65536 else "<u4"
+            body = pack(np.frombuffer(table[used].tobytes() + local.astype(kind).tobytes(), np.uint8))
+            out.append((b, None, len(used), None, None, pack_sorted(every[i:j] >> low), body))
         yield from arrow_rows(out, _KEYED).to_batches()
 
 
@@ -154,7 +163,7 @@ def _stars(table: pa.Table) -> pa.Table:
     for key, body, n in zip(table.column("keys").to_pylist(), table.column("owners").to_pylist(), table.column("n").to_pylist()):
         raw = unpack(body, np.uint8)
         keys.append(unpack_sorted(key))
-        owners.append(raw[: 8 * n].view("<u8")[raw[8 * n :].view("<u4")])
+        owners.append(raw[: 8 * n].view("<u8")[raw[8 * n :].view("<u2" if n <= 65536 else "<u4")])
     key, owner = np.concatenate(keys), np.concatenate(owners)
     _, first, group, n = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
     shared = n[group] > 1
@@ -177,17 +186,44 @@ def _stars(table: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([pa.array(c.view(np.int64)) for c in columns], schema=_STARS)
 
 
-def _sets(batches, k: int):
+#: Bits of the filter of identifiers that spare most texts a shuffle; it is of this size for any input.
+FILTER_BITS = 1 << 23
+
+
+def _filter_places(ids: np.ndarray) -> np.ndarray:
+    return (mixed(ids.astype(np.int64).view(np.uint64), 31) & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+
+
+def id_filter(nodes: DataFrame) -> np.ndarray:
+    """A bitmap of FILTER_BITS bits with the hashes of all identifiers; other identifiers may hit it too."""
+
+    def run(batches):
+        bits = np.zeros(FILTER_BITS, bool)
+        for batch in batches:
+            bits[_filter_places(batch.column(0).to_numpy())] = True
+        at = np.flatnonzero(np.packbits(bits))
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(np.packbits(bits)[at], pa.int32())], names=["at", "bits"])
+
+    out = np.zeros(FILTER_BITS // 8, np.uint8)
+    for row in nodes.select("doc_id").mapInArrow(run, "at int, bits int").groupBy("at").agg(F.bit_or("bits").alias("bits")).toLocalIterator():
+        out[row["at"]] = row["bits"]
+    return np.unpackbits(out).astype(bool)
+
+
+def _texts(batches, hit: np.ndarray):
+    """The compressed texts of rows whose identifier hits the filter."""
     for ids, texts in _slices(batches):
-        found = shingle_sets(texts, k)
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([len(s) for s in found], pa.int64()), pa.array([s.astype("<u8").tobytes() for s in found], pa.binary())], names=["doc_id", "n", "shingles"])
+        known = [i for i, doc in enumerate(ids) if doc is not None]
+        chosen = [known[i] for i in np.flatnonzero(hit[_filter_places(np.array([ids[i] for i in known], np.int64))])]
+        bodies = [pack(np.frombuffer((texts[i] or "").encode(), np.uint8), thorough=True) for i in chosen]
+        yield pa.RecordBatch.from_arrays([pa.array([ids[i] for i in chosen], pa.int64()), pa.array(bodies, pa.binary())], names=["doc_id", "body"])
 
 
 class Comparison:
     """The sets of a block and their bitmaps."""
 
-    def __init__(self, shingles: list[bytes], threshold: Threshold):
-        self.sets = [np.frombuffer(s, "<u8") for s in shingles]
+    def __init__(self, bodies: list[bytes], k: int, threshold: Threshold):
+        self.sets = shingle_sets([unpack(b, np.uint8).tobytes().decode() for b in bodies], k)
         self.sizes = np.array([len(s) for s in self.sets], np.int64)
         self.threshold = threshold
         words = 1 << max(0, int(2 * self.sizes.max() - 1).bit_length() - 6)
@@ -210,20 +246,20 @@ class Comparison:
 _JUDGED = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("linked", pa.bool_())])
 
 
-def _judged(table: pa.Table, threshold: Threshold) -> pa.Table:
+def _judged(table: pa.Table, k: int, threshold: Threshold) -> pa.Table:
     """A centre against its block of other sets."""
     centre, other = table.column("a")[0].as_py(), table.column("b").to_numpy()
-    block = Comparison(table.column("shingles").to_pylist(), threshold)
+    block = Comparison(table.column("body").to_pylist(), k, threshold)
     hub = int(np.flatnonzero(other == centre)[0])
     rest = np.flatnonzero(other != centre)
     return pa.Table.from_arrays([pa.array(np.full(len(rest), centre)), pa.array(other[rest]), pa.array(block.linked(hub, rest))], schema=_JUDGED)
 
 
-def _crossed(table: pa.Table, threshold: Threshold) -> pa.Table:
+def _crossed(table: pa.Table, k: int, threshold: Threshold) -> pa.Table:
     """All similar pairs of a block whose components differ; of a block of two parts, those across."""
     node, label, side = (table.column(c).to_numpy() for c in ("node", "label", "side"))
     two = table.column("i")[0].as_py() != table.column("j")[0].as_py()
-    block = Comparison(table.column("shingles").to_pylist(), threshold)
+    block = Comparison(table.column("body").to_pylist(), k, threshold)
     found = []
     for i in range(len(node)):
         others = np.arange(i + 1, len(node))
@@ -233,6 +269,47 @@ def _crossed(table: pa.Table, threshold: Threshold) -> pa.Table:
     return arrow_rows(found, _JUDGED)
 
 
+_LABELLED = pa.schema([("node", pa.int64()), ("label", pa.int64())])
+
+
+def _family(table: pa.Table, k: int, threshold: Threshold) -> pa.Table:
+    """The components of one family: each class is compared with the later ones not connected to it yet."""
+    node = table.column("doc_id").to_numpy()
+    order = np.argsort(node, kind="stable")
+    bodies = table.column("body").to_pylist()
+    block = Comparison([bodies[i] for i in order], k, threshold)
+    label = np.arange(len(node))
+    for i in range(len(node)):
+        others = np.arange(i + 1, len(node))
+        others = others[label[others] != label[i]]
+        if len(others):
+            met = np.unique(label[np.append(others[block.linked(i, others)], i)])
+            label[np.isin(label, met)] = met[0]
+    return pa.Table.from_arrays([pa.array(node[order]), pa.array(node[order][label])], schema=_LABELLED)
+
+
+def _large_families(stars: DataFrame, texts: DataFrame, k: int, threshold: Threshold) -> DataFrame:
+    """Labels of the classes of families that are too large for one task."""
+    pairs = stars.select("a", "b").distinct()
+    fanned = pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).alias("salts"))
+    other = pairs.join(fanned, "a").join(texts, F.col("b") == F.col("doc_id")).select("a", F.pmod(F.xxhash64("b"), "salts").alias("salt"), "b", "body")
+    centre = fanned.join(texts, F.col("a") == F.col("doc_id")).select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"), F.col("a").alias("b"), "body")
+    judged = other.unionByName(centre).groupBy("a", "salt").applyInArrow(lambda t: _judged(t, k, threshold), "a long, b long, linked boolean")
+    judged = written(judged, "judged")
+    first = components(judged.where("linked"))
+    todo = stars.join(judged.where("NOT linked"), ["a", "b"], "left_semi").select("tile").distinct()
+    members = stars.join(todo, "tile", "left_semi")
+    members = members.select("tile", F.explode(F.array("a", "b")).alias("node")).distinct()
+    members = members.join(first, "node", "left").select("tile", "node", F.coalesce("label", "node").alias("label"))
+    spread = members.groupBy("tile").agg(F.count("*").alias("size"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+    members = members.join(spread.select("tile", F.ceil(F.col("size") / BLOCK).alias("blocks")), "tile")
+    members = members.withColumn("side", F.pmod(F.xxhash64("node"), "blocks")).withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    members = members.select("tile", "node", "label", "side", F.least("side", "with").alias("i"), F.greatest("side", "with").alias("j"))
+    blocks = members.join(texts, F.col("node") == F.col("doc_id")).select("tile", "i", "j", "node", "label", "side", "body")
+    crossed = blocks.groupBy("tile", "i", "j").applyInArrow(lambda t: _crossed(t, k, threshold), "a long, b long, linked boolean")
+    return components(written(judged.where("linked").select("a", "b").union(crossed.select("a", "b")), "links"))
+
+
 def jaccard_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id for links of similarity num / den or more."""
     threshold = Threshold(num, den)
@@ -247,29 +324,20 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5)
     named = classes.where("n > 0 AND node IS NOT NULL").select("d1", "node")
     stars = stars.join(named.select(F.col("d1").alias("a"), F.col("node").alias("na")), "a").join(named.select(F.col("d1").alias("b"), F.col("node").alias("nb")), "b")
     stars = written(stars.where("na <> nb").select("tile", F.col("na").alias("a"), F.col("nb").alias("b")), "stars")
-    pairs = stars.select("a", "b").distinct()
-    nodes = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "doc_id")
-    sets = docs.join(nodes, "doc_id", "left_semi").mapInArrow(partial(_sets, k=k), "doc_id long, n long, shingles binary")
-    sets = written(sets.dropDuplicates(["doc_id", "shingles"]), "sets")
-    fanned = pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).alias("salts"))
-    other = pairs.join(fanned, "a").join(sets, F.col("b") == F.col("doc_id")).select("a", F.pmod(F.xxhash64("b"), "salts").alias("salt"), "b", "shingles")
-    centre = fanned.join(sets, F.col("a") == F.col("doc_id")).select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"), F.col("a").alias("b"), "shingles")
-    judged = other.unionByName(centre).groupBy("a", "salt").applyInArrow(lambda t: _judged(t, threshold), "a long, b long, linked boolean")
-    judged = written(judged, "judged")
-    first = components(judged.where("linked"))
-    failed = judged.where("NOT linked").select("a", "b")
-    todo = stars.join(failed, ["a", "b"], "left_semi").select("tile").distinct()
-    members = stars.join(todo, "tile", "left_semi")
-    members = members.select("tile", F.col("a").alias("node")).union(members.select("tile", "b")).distinct()
-    members = members.join(first, "node", "left").select("tile", "node", F.coalesce("label", "node").alias("label"))
-    spread = members.groupBy("tile").agg(F.count("*").alias("size"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-    members = members.join(spread.select("tile", F.ceil(F.col("size") / BLOCK).alias("blocks")), "tile")
-    members = members.withColumn("side", F.pmod(F.xxhash64("node"), "blocks")).withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    members = members.select("tile", "node", "label", "side", F.least("side", "with").alias("i"), F.greatest("side", "with").alias("j"))
-    blocks = members.join(sets, F.col("node") == F.col("doc_id")).select("tile", "i", "j", "node", "label", "side", "shingles")
-    crossed = blocks.groupBy("tile", "i", "j").applyInArrow(lambda t: _crossed(t, threshold), "a long, b long, linked boolean")
-    links = written(judged.where("linked").select("a", "b").union(crossed.select("a", "b")), "links")
-    labels = components(links)
+    families = components(stars.select("a", "b").distinct()).select(F.col("node").alias("doc_id"), F.col("label").alias("family"))
+    sizes = families.join(classes.groupBy(F.col("node").alias("doc_id")).agg(F.max("n").alias("n")), "doc_id")
+    sizes = sizes.groupBy("family").agg(F.count("*").alias("classes"), F.sum("n").alias("shingles"))
+    families = families.join(sizes.select("family", ((F.col("classes") > FAMILY) | (F.col("shingles") > FAMILY_SHINGLES)).alias("large")), "family")
+    families = written(families, "families")
+    hit = id_filter(families)
+    texts = docs.mapInArrow(partial(_texts, hit=hit), "doc_id long, body binary").join(families, "doc_id").dropDuplicates(["doc_id", "body"])
+    texts = written(texts, "texts")
+    small = texts.where("NOT large").groupBy("family").applyInArrow(lambda t: _family(t, k, threshold), "node long, label long")
+    big = families.where("large").select(F.col("doc_id").alias("a"))
+    labels = small
+    if not big.isEmpty():
+        labels = labels.unionByName(_large_families(stars.join(big, "a", "left_semi"), texts.where("large").select("doc_id", "body"), k, threshold))
+    labels = labels.groupBy("node").agg(F.min("label").alias("label"))
     placed = classes.join(labels, "node", "left").select("n", "d1", "d2", F.coalesce("label", "node").alias("component"))
     out = rows.join(placed, ["n", "d1", "d2"])
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"))

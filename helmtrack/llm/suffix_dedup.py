@@ -9,7 +9,7 @@ identifier. All strings are judged on the input.
    which answers which of them other documents hold too.
 2. For shared anchors, a chunk sends the passages around them: the windows of one anchor in a row, at most
    REACH of them, as one string, each distinct string once with the smallest identifier that holds it.
-3. A bucket is a shard of passages that only need comparing among themselves. Strings that are equal are
+3. A bucket is cut into shards of passages that only need comparing among themselves. Strings that are equal are
    merged by binary search over sorted hashes and compared in full. Where an anchor has several different
    passages, a suffix array of the shard, by Larsson-Sadakane refinement, and its common prefixes, by
    Kasai's method run over all passages abreast, bring equal windows together, whatever surrounds them; the
@@ -41,7 +41,9 @@ from helmtrack.llm.words import mixed
 
 SPAN = 50
 #: Windows that one passage may hold, at most 32: a mask of its windows is one 32-bit integer.
-REACH = 27
+REACH = 32
+#: Passages of one suffix array, unless one anchor has more.
+SHARD = 3000
 LAST_ID = (1 << 63) - 1
 _BASE = 0xD6E8FEB86659FD93
 
@@ -82,8 +84,8 @@ class Chunk:
         lows = [anchors(np.frombuffer(t, np.uint8), span) if len(t) >= span else np.zeros(0, np.uint64) for t in self.texts]
         self.low = np.concatenate([*lows, np.zeros(0, np.uint64)])
         n = np.array([len(x) for x in lows], np.int64)
-        self.doc = np.repeat(np.arange(len(lows)), n)
-        self.start = np.arange(len(self.low)) - np.repeat(np.cumsum(n) - n, n)
+        self.doc = np.repeat(np.arange(len(lows), dtype=np.int32), n)
+        self.start = np.arange(len(self.low), dtype=np.int32) - np.repeat((np.cumsum(n) - n).astype(np.int32), n)
 
     def distinct(self) -> tuple[np.ndarray, np.ndarray]:
         """The distinct anchors, ascending, and whether several identifiers of the chunk hold each."""
@@ -100,7 +102,6 @@ class Chunk:
 
 _ANCHORS = pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), ("keys", pa.binary()), ("several", pa.binary())])
 _BACK = pa.schema([("chunk", pa.int64()), ("bucket", pa.int64()), ("payload", pa.binary())])
-_PASSAGES = pa.schema([("chunk", pa.int64()), ("bucket", pa.int64()), ("payload", pa.binary())])
 
 
 def _send_anchors(batches, span: int, bits: int):
@@ -145,46 +146,61 @@ def _same_as_previous(key: np.ndarray, lanes: np.ndarray) -> np.ndarray:
     return same
 
 
+class Passages:
+    """The passages of a chunk around its shared anchors: low, lanes, windows and least of the distinct ones
+    in the order of their anchors, and which of them is where (doc, start, n)."""
+
+    def __init__(self, chunk: Chunk, answers: list[bytes], span: int, bits: int):
+        keys, _ = chunk.distinct()
+        counts = [j - i for _, i, j in by_bucket(keys, bits)]
+        shared = [np.unpackbits(np.frombuffer(p, np.uint8), count=n).astype(bool) for p, n in zip(answers, counts)]
+        wanted = keys[np.concatenate(shared)] if shared else keys[:0]
+        self.any = len(wanted) > 0
+        if not self.any:
+            return
+        at = np.flatnonzero(wanted[np.minimum(np.searchsorted(wanted, chunk.low), len(wanted) - 1)] == chunk.low)
+        fresh = np.ones(len(at), bool)  # a run of windows ends with its anchor, its document, or a gap
+        fresh[1:] = (np.diff(at) != 1) | (chunk.low[at[1:]] != chunk.low[at[:-1]]) | (chunk.doc[at[1:]] != chunk.doc[at[:-1]])
+        head = np.flatnonzero(fresh)
+        place = np.arange(len(at)) - np.repeat(head, np.diff(np.append(head, len(at))))
+        head = np.flatnonzero(place % REACH == 0)
+        n = np.diff(np.append(head, len(at)))
+        first = at[head]
+        low, doc, start = chunk.low[first], chunk.doc[first], chunk.start[first]
+        data = np.frombuffer(b"".join(chunk.texts) + bytes(_lane(span)), np.uint8)
+        offset = np.cumsum([0, *map(len, chunk.texts)])[doc] + start
+        columns = np.arange(_lane(span))
+        lanes = data[offset[:, None] + columns]
+        lanes[columns >= (n + span - 1)[:, None]] = 0xFF  # no UTF-8 text holds this byte
+        mark = _content_hash(lanes)
+        order = np.lexsort((mark, low))
+        low, mark, lanes = low[order], mark[order], lanes[order]
+        self.doc, self.start, self.n = doc[order], start[order], n[order]
+        repeated = _same_as_previous(mark, lanes) & np.append(False, low[1:] == low[:-1])
+        self.which = np.cumsum(~repeated) - 1
+        head = np.flatnonzero(~repeated)
+        self.least = np.minimum.reduceat(np.array(chunk.ids, np.int64)[self.doc], head)
+        self.low, self.lanes, self.windows = low[head], lanes[head], self.n[head]
+
+
+def _ordered(table: pa.Table) -> tuple[list[bytes], list[bytes], list[bytes]]:
+    """The payloads of a chunk's own row and of its answers to each of two questions, by bucket."""
+    kinds: tuple = ([], [], [])
+    for kind, bucket, payload in zip(*(table.column(c).to_pylist() for c in ("kind", "bucket", "payload"))):
+        kinds[kind].append((bucket, payload))
+    return tuple([p for _, p in sorted(k, key=lambda r: r[0])] for k in kinds)
+
+
 def _send_passages(table: pa.Table, span: int, bits: int) -> pa.Table:
-    """From a chunk and the answers to its anchors: its passages by bucket, and (bucket -1) where they are."""
-    rows = sorted(zip(table.column("bucket").to_pylist(), table.column("payload").to_pylist()), key=lambda r: r[0])
+    """From a chunk and the answers to its anchors: its passages by bucket."""
+    own, shared, _ = _ordered(table)
     number = table.column("chunk")[0].as_py()
-    chunk = Chunk(rows[0][1], span)
-    keys, _ = chunk.distinct()
-    counts = [j - i for _, i, j in by_bucket(keys, bits)]
-    shared = [np.unpackbits(np.frombuffer(p, np.uint8), count=n).astype(bool) for (_, p), n in zip(rows[1:], counts)]
-    wanted = keys[np.concatenate(shared)] if shared else keys[:0]
-    if not len(wanted):
-        return arrow_rows([], _PASSAGES)
-    at = np.flatnonzero(wanted[np.minimum(np.searchsorted(wanted, chunk.low), len(wanted) - 1)] == chunk.low)
-    fresh = np.ones(len(at), bool)  # a run of windows ends with its anchor, its document, or a gap
-    fresh[1:] = (np.diff(at) != 1) | (chunk.low[at[1:]] != chunk.low[at[:-1]]) | (chunk.doc[at[1:]] != chunk.doc[at[:-1]])
-    head = np.flatnonzero(fresh)
-    place = np.arange(len(at)) - np.repeat(head, np.diff(np.append(head, len(at))))
-    head = np.flatnonzero(place % REACH == 0)
-    n = np.diff(np.append(head, len(at)))
-    first = at[head]
-    low, doc, start = chunk.low[first], chunk.doc[first], chunk.start[first]
-    data = np.frombuffer(b"".join(chunk.texts) + bytes(_lane(span)), np.uint8)
-    offset = np.cumsum([0, *map(len, chunk.texts)])[doc] + start
-    width = n + span - 1
-    columns = np.arange(_lane(span))
-    lanes = data[offset[:, None] + columns]
-    lanes[columns >= width[:, None]] = 0xFF  # no UTF-8 text holds this byte
-    mark = _content_hash(lanes)
-    order = np.lexsort((mark, low))
-    low, mark, lanes, doc, start, n = low[order], mark[order], lanes[order], doc[order], start[order], n[order]
-    repeated = _same_as_previous(mark, lanes) & np.append(False, low[1:] == low[:-1])
-    which = np.cumsum(~repeated) - 1
-    ids = np.array(chunk.ids, np.int64)
-    head = np.flatnonzero(~repeated)
-    least = np.minimum.reduceat(ids[doc], head)
-    low, lanes, length = low[head], lanes[head], n[head]
-    out = [(number, -1, pack(np.stack([which, doc, start, n]).astype("<i4")) + b"|||" + pack(least.astype("<i8")))]
-    for b, i, j in by_bucket(low, bits):
-        body = np.concatenate([np.frombuffer(x, np.uint8) for x in (low[i:j].astype("<u8").tobytes(), least[i:j].astype("<i8").tobytes(), length[i:j].astype("u1").tobytes(), lanes[i:j].tobytes())])
-        out.append((number, b, pack(body)))
-    return arrow_rows(out, _PASSAGES)
+    found = Passages(Chunk(own[0], span), shared, span, bits)
+    out = []
+    for b, i, j in by_bucket(found.low, bits) if found.any else []:
+        parts = (found.low[i:j].astype("<u8"), found.least[i:j].astype("<i8"), found.windows[i:j].astype("u1"), found.lanes[i:j])
+        out.append((number, b, pack(np.frombuffer(b"".join(x.tobytes() for x in parts), np.uint8), thorough=True)))
+    return arrow_rows(out, _BACK)
 
 
 def suffix_array(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -291,29 +307,30 @@ def _answer(table: pa.Table, span: int) -> pa.Table:
     held = np.repeat(smallest[:, None], REACH, 1)
     near = key[1:] == key[:-1]
     several = np.append(False, near) | np.append(near, False)
-    if several.any():
-        held[several] = smallest_holders(rows[several], each[several], smallest[several], span)
+    todo = np.flatnonzero(several)
+    starts = np.flatnonzero(np.append(True, key[todo][1:] != key[todo][:-1])) if len(todo) else todo
+    cuts = starts[np.diff(starts // SHARD, prepend=-1) > 0]  # passages of one anchor stay together
+    for part in np.split(todo, cuts[1:]) if len(todo) else []:
+        held[part] = smallest_holders(rows[part], each[part], smallest[part], span)
     found = (held[which] < least[:, None]) & (np.arange(REACH) < windows[:, None])
     masks = found @ (1 << np.arange(REACH, dtype=np.int64))
     ends = np.cumsum([len(p[2]) for p in parts])
     return arrow_rows([(c, b, pack(masks[e - len(p[2]) : e].astype("<u4"))) for c, b, p, e in zip(chunk, bucket, parts, ends)], _BACK)
 
 
-def _removed(table: pa.Table, span: int, schema: pa.Schema) -> pa.Table:
-    """From a chunk, where its passages are and their answers: its rows with the bytes removed."""
-    rows = sorted(zip(table.column("order").to_pylist(), table.column("payload").to_pylist()), key=lambda r: r[0])
-    docs = opened(rows[0][1])
-    texts = [(t or "").encode() for t in docs.column("text").to_pylist()]
+def _removed(table: pa.Table, span: int, bits: int, schema: pa.Schema) -> pa.Table:
+    """From a chunk and the answers to its anchors and passages: its rows with the bytes removed."""
+    own, shared, answers = _ordered(table)
+    chunk = Chunk(own[0], span)
+    docs, texts = chunk.table, chunk.texts
     ends = np.cumsum([0, *map(len, texts)])
     gone = np.zeros(int(ends[-1]), bool)
-    if len(rows) > 1:
-        where, least = rows[1][1].split(b"|||", 1)
-        which, doc, start, n = unpack(where, "<i4").reshape(4, -1).astype(np.int64)
-        masks = np.concatenate([unpack(p, "<u4") for _, p in rows[2:]])[which].astype(np.int64)
-        ids = np.array([LAST_ID if i is None else i for i in docs.column("doc_id").to_pylist()], np.int64)
-        masks[ids[doc] > unpack(least, "<i8")[which]] = (1 << REACH) - 1
-        hit, i = np.nonzero((masks[:, None] >> np.arange(REACH) & 1).astype(bool) & (np.arange(REACH) < n[:, None]))
-        at = ends[doc[hit]] + start[hit] + i
+    found = Passages(chunk, shared, span, bits)
+    if found.any:
+        masks = np.concatenate([unpack(p, "<u4") for p in answers])[found.which].astype(np.int64)
+        masks[np.array(chunk.ids, np.int64)[found.doc] > found.least[found.which]] = (1 << REACH) - 1
+        hit, i = np.nonzero((masks[:, None] >> np.arange(REACH) & 1).astype(bool) & (np.arange(REACH) < found.n[:, None]))
+        at = ends[found.doc[hit]] + found.start[hit] + i
         change = np.bincount(at, minlength=len(gone) + 1) - np.bincount(at + span, minlength=len(gone) + 1)
         gone = np.cumsum(change)[: len(gone)] > 0
     out = []
@@ -340,14 +357,11 @@ def remove_repeats(docs: DataFrame, span: int = SPAN) -> DataFrame:
     bits = bucket_bits(chunks)
     back = "chunk long, bucket long, payload binary"
     sent = chunks.mapInArrow(partial(_send_anchors, span=span, bits=bits), "bucket long, chunk long, keys binary, several binary")
-    shared = sent.groupBy("bucket").applyInArrow(_shared, back)
-    whole = chunks.select("chunk", F.lit(-1).cast("long").alias("bucket"), "payload")
-    passages = whole.unionByName(shared).groupBy("chunk").applyInArrow(lambda t: _send_passages(t, span, bits), back)
-    passages = written(passages, "passages")
-    answers = passages.where("bucket >= 0").groupBy("bucket").applyInArrow(lambda t: _answer(t, span), back)
-    last = whole.select("chunk", F.lit(-2).cast("long").alias("order"), "payload")
-    last = last.unionByName(passages.where("bucket < 0").unionByName(answers).withColumnRenamed("bucket", "order"))
+    shared = written(sent.groupBy("bucket").applyInArrow(_shared, back), "shared-anchors").withColumn("kind", F.lit(1))
+    asked = chunks.select("chunk", F.lit(-1).cast("long").alias("bucket"), "payload", F.lit(0).alias("kind")).unionByName(shared)
+    passages = asked.groupBy("chunk").applyInArrow(lambda t: _send_passages(t, span, bits), back)
+    answers = passages.groupBy("bucket").applyInArrow(lambda t: _answer(t, span), back).withColumn("kind", F.lit(2))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     schema = f"{fields}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     names = pa.schema([(c, pa.null()) for c in [*docs.columns, *ADDED]])
-    return last.groupBy("chunk").applyInArrow(lambda t: _removed(t, span, names), schema)
+    return asked.unionByName(answers).groupBy("chunk").applyInArrow(lambda t: _removed(t, span, bits, names), schema)
