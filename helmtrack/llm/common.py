@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -31,9 +32,25 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/helmtrack/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    release(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark's cleaner drop the shuffle files of plans that are done; it acts when the driver's garbage
+    is collected, which by itself may be half an hour later."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes the files of a written intermediate from which nothing is to be read any more."""
+    context = df.sparkSession.sparkContext
+    if files := df.inputFiles():
+        path = context._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """A reliable checkpoint of a small frame, for iterative plans."""
     shared_dir(df.sparkSession)

@@ -4,7 +4,9 @@ Two sets of similarity J or more differ in at most D shingles, where D follows f
 sets of neighbouring size bands. In a tile the hashes are split into D + 1 parts; two similar sets must be
 equal in at least one of them, so a set enters one tile for each of its parts, keyed by a hash of that part.
 No pair of similar sets is missed, and a shingle that very many documents hold doesn't bring them together
-unless the rest of the part is equal too.
+unless the rest of the part is equal too. Parts of no or one shingle would bring strangers together: there are
+some spare parts beyond D + 1, and a set with no more such weak parts than spare ones leaves them out. Similar
+sets are equal in more parts than are spare, so at least one part that both enter is among them.
 
 Equal sets are one class from the start. Classes that meet in tiles form families, mostly small, and each
 member's text travels once, to its family: there hashed bitmaps bound the overlap of a pair from above by
@@ -24,7 +26,8 @@ table gives an empty result. Other columns play no part.
 
 from __future__ import annotations
 
-from functools import partial
+import math
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from helmtrack.llm.chunks import arrow_rows, by_bucket
-from helmtrack.llm.common import pack, pack_sorted, unpack, unpack_sorted, written
+from helmtrack.llm.common import discard, pack, pack_sorted, unpack, unpack_sorted, written
 from helmtrack.llm.components import components
 from helmtrack.llm.words import joined_hashes, mixed, word_hashes
 
@@ -64,13 +67,24 @@ class Threshold:
         """One more than the most shingles by which similar sets differ, the smaller of at most ``high``."""
         return (high + self.den * high // self.num) * (self.den - self.num) // (self.den + self.num) + 1
 
-    def tiles(self, n: int) -> list[tuple[int, int]]:
-        """(tile, parts) for a set of n shingles: as one of the smaller sets, and of the larger ones."""
+    @lru_cache(maxsize=4096)  # noqa: B019  a few objects live as long as their worker
+    def spare(self, high: int) -> int:
+        """Parts beyond those of ``parts``: about as many as the weak parts that all but a few sets of the tile
+        have; none where that many would make the parts of small sets weaker still."""
+        for spare in range(1, self.parts(high) // 4 + 1):
+            parts = self.parts(high) + spare
+            mean = high / parts
+            weak = parts * math.exp(-mean) * (1 + mean)
+            if weak + 2 * math.sqrt(weak) <= spare:
+                return spare
+        return 0
+
+    def tiles(self, n: int) -> list[tuple[int, int, int]]:
+        """(tile, parts, spare ones of them) for a set of n shingles: as one of the smaller sets, and of the
+        larger ones."""
         number, low, high = self.band(n)
-        found = [(number, self.parts(high))]
-        if number:
-            found.append((number - 1, self.parts(low - 1)))
-        return found
+        tops = [(number, high)] + [(number - 1, low - 1)] * (number > 0)
+        return [(tile, self.parts(top) + self.spare(top), self.spare(top)) for tile, top in tops]
 
     def similar(self, common, a, b):
         return self.den * common >= self.num * (a + b - common)
@@ -96,15 +110,17 @@ def shingle_sets(texts: list, k: int) -> list[np.ndarray]:
 
 
 def tile_keys(found: np.ndarray, threshold: Threshold) -> np.ndarray:
-    """The key of each part of each tile that a set enters."""
+    """The key of each part of each tile that a set enters, without weak parts if few enough are."""
     scattered = np.sort(mixed(found, 13))
     sums = np.append(np.uint64(0), np.cumsum(mixed(scattered, 14), dtype=np.uint64))
     keys = []
-    for tile, parts in threshold.tiles(len(found)):
+    for tile, parts, spare in threshold.tiles(len(found)):
         part = ((scattered >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
         bounds = np.searchsorted(part, np.arange(parts + 1, dtype=np.uint64))
         content = sums[bounds[1:]] - sums[bounds[:-1]]
-        keys.append(mixed(mixed(content, 15) + np.arange(parts, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(tile * 0xD6E8FEB86659FD93 & 0xFFFFFFFFFFFFFFFF)))
+        made = mixed(mixed(content, 15) + np.arange(parts, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(tile * 0xD6E8FEB86659FD93 & 0xFFFFFFFFFFFFFFFF))
+        strong = np.diff(bounds) > 1
+        keys.append(made[strong] if parts - strong.sum() <= spare else made)
     return np.concatenate(keys)
 
 
@@ -318,12 +334,13 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5)
     bits = max(5, int(np.ceil(np.log2(max(total, 1) / BUCKET_BYTES))))
     fields = "bucket long, doc_id long, n long, d1 long, d2 long, keys binary, owners binary"
     keyed = written(docs.mapInArrow(partial(_keyed, k=k, threshold=threshold, bits=bits), fields), "tiles")
-    rows = keyed.where("bucket = -1").select("doc_id", "n", "d1", "d2")
+    rows = written(keyed.where("bucket = -1").select("doc_id", "n", "d1", "d2"), "set-sizes")
     classes = written(rows.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("node")), "classes")
     stars = keyed.where("bucket >= 0").select("bucket", "n", "keys", "owners").groupBy("bucket").applyInArrow(_stars, "tile long, a long, b long")
     named = classes.where("n > 0 AND node IS NOT NULL").select("d1", "node")
     stars = stars.join(named.select(F.col("d1").alias("a"), F.col("node").alias("na")), "a").join(named.select(F.col("d1").alias("b"), F.col("node").alias("nb")), "b")
     stars = written(stars.where("na <> nb").select("tile", F.col("na").alias("a"), F.col("nb").alias("b")), "stars")
+    discard(keyed)
     families = components(stars.select("a", "b").distinct()).select(F.col("node").alias("doc_id"), F.col("label").alias("family"))
     sizes = families.join(classes.groupBy(F.col("node").alias("doc_id")).agg(F.max("n").alias("n")), "doc_id")
     sizes = sizes.groupBy("family").agg(F.count("*").alias("classes"), F.sum("n").alias("shingles"))
