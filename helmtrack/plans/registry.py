@@ -19,4 +19,4 @@ def query(sql: str | None = None):
     return register
 
 
-from helmtrack.plans import edit_queries, frame_queries, trace_queries  # noqa: E402,F401  they register themselves
+from helmtrack.plans import edit_queries, feature_queries, frame_queries, trace_queries  # noqa: E402,F401  they register themselves
