@@ -18,10 +18,11 @@ components have all their pairs across components compared, again in blocks. So
 just what all links would connect, without emitting all pairs of a group of copies.
 
 Defined results: a null text and one without words have an empty set, linked with nothing. A document of
-fewer words than a shingle has its whole sequence as one shingle. Rows with a null identifier are in their
-class but can't name it; their component is null if no other row has their set. Repeated rows are one
-class. Rows that share an identifier but not a text count as linked if either is linked further. An empty
-table gives an empty result. Other columns play no part.
+fewer words than a shingle has its whole sequence as one shingle. A component has the name of its least
+identifier. Rows with a null identifier are compared like all others but can't name a component; without any
+other row in it its name is null. Repeated rows are one class. Inside, rows and classes are told apart by a hash
+of identifier and text, so rows that share an identifier but not a text are linked only if these are similar.
+An empty table gives an empty result. Other columns play no part.
 """
 
 from __future__ import annotations
@@ -125,18 +126,18 @@ def tile_keys(found: np.ndarray, threshold: Threshold) -> np.ndarray:
 
 
 def _slices(batches):
-    """Bounded (ids, texts) of the rows."""
+    """Bounded (ids, row hashes, texts) of the rows."""
     for batch in batches:
-        ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
+        ids, hashes, texts = (batch.column(c).to_pylist() for c in ("doc_id", "row", "text"))
         start, size = 0, 0
         for i, t in enumerate(texts):
             size += len(t or "")
             if size >= SLICE_BYTES or i == len(texts) - 1:
-                yield ids[start : i + 1], texts[start : i + 1]
+                yield ids[start : i + 1], hashes[start : i + 1], texts[start : i + 1]
                 start, size = i + 1, 0
 
 
-_KEYED = pa.schema([("bucket", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("keys", pa.binary()), ("owners", pa.binary())])
+_KEYED = pa.schema([("bucket", pa.int64()), ("doc_id", pa.int64()), ("row", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("keys", pa.binary()), ("owners", pa.binary())])
 
 
 def _signed(x) -> int:
@@ -144,11 +145,11 @@ def _signed(x) -> int:
 
 
 def _keyed(batches, k: int, threshold: Threshold, bits: int):
-    for ids, texts in _slices(batches):
+    for ids, hashes, texts in _slices(batches):
         rows, keys, owners, seen = [], [], [], {}
-        for doc, found in zip(ids, shingle_sets(texts, k)):
+        for doc, row, found in zip(ids, hashes, shingle_sets(texts, k)):
             d1, d2 = mixed(found, 11).sum(dtype=np.uint64), mixed(found, 12).sum(dtype=np.uint64)
-            rows.append((-1, doc, len(found), _signed(d1), _signed(d2), None, None))
+            rows.append((-1, doc, row, len(found), _signed(d1), _signed(d2), None, None))
             if len(found) and d1 not in seen:
                 seen[d1] = len(seen)
                 keys.append(tile_keys(found, threshold))
@@ -165,7 +166,7 @@ def _keyed(batches, k: int, threshold: Threshold, bits: int):
             used, local = np.unique(owner[i:j], return_inverse=True)
             kind = "<u2" if len(used) <= 65536 else "<u4"
             body = pack(np.frombuffer(table[used].tobytes() + local.astype(kind).tobytes(), np.uint8))
-            out.append((b, None, len(used), None, None, pack_sorted(every[i:j] >> low), body))
+            out.append((b, None, None, len(used), None, None, pack_sorted(every[i:j] >> low), body))
         yield from arrow_rows(out, _KEYED).to_batches()
 
 
@@ -202,16 +203,16 @@ def _stars(table: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([pa.array(c.view(np.int64)) for c in columns], schema=_STARS)
 
 
-#: Bits of the filter of identifiers that spare most texts a shuffle; it is of this size for any input.
+#: Bits of the filter of classes that spare most texts a shuffle; it is of this size for any input.
 FILTER_BITS = 1 << 23
 
 
-def _filter_places(ids: np.ndarray) -> np.ndarray:
-    return (mixed(ids.astype(np.int64).view(np.uint64), 31) & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+def _filter_places(nodes: np.ndarray) -> np.ndarray:
+    return (mixed(nodes.astype(np.int64).view(np.uint64), 31) & np.uint64(FILTER_BITS - 1)).astype(np.int64)
 
 
-def id_filter(nodes: DataFrame) -> np.ndarray:
-    """A bitmap of FILTER_BITS bits with the hashes of all identifiers; other identifiers may hit it too."""
+def node_filter(nodes: DataFrame) -> np.ndarray:
+    """A bitmap of FILTER_BITS bits with the hashes of all nodes; other rows may hit it too."""
 
     def run(batches):
         bits = np.zeros(FILTER_BITS, bool)
@@ -221,18 +222,21 @@ def id_filter(nodes: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(np.packbits(bits)[at], pa.int32())], names=["at", "bits"])
 
     out = np.zeros(FILTER_BITS // 8, np.uint8)
-    for row in nodes.select("doc_id").mapInArrow(run, "at int, bits int").groupBy("at").agg(F.bit_or("bits").alias("bits")).toLocalIterator():
+    for row in nodes.select("node").mapInArrow(run, "at int, bits int").groupBy("at").agg(F.bit_or("bits").alias("bits")).toLocalIterator():
         out[row["at"]] = row["bits"]
     return np.unpackbits(out).astype(bool)
 
 
 def _texts(batches, hit: np.ndarray):
-    """The compressed texts of rows whose identifier hits the filter."""
-    for ids, texts in _slices(batches):
-        known = [i for i, doc in enumerate(ids) if doc is not None]
-        chosen = [known[i] for i in np.flatnonzero(hit[_filter_places(np.array([ids[i] for i in known], np.int64))])]
-        bodies = [pack(np.frombuffer((texts[i] or "").encode(), np.uint8), thorough=True) for i in chosen]
-        yield pa.RecordBatch.from_arrays([pa.array([ids[i] for i in chosen], pa.int64()), pa.array(bodies, pa.binary())], names=["doc_id", "body"])
+    """The compressed texts of rows that hit the filter, of repeated rows one."""
+    seen = set()
+    for _, hashes, texts in _slices(batches):
+        chosen = {}
+        for i in np.flatnonzero(hit[_filter_places(np.array(hashes, np.int64))]):
+            if hashes[i] not in seen:
+                seen.add(hashes[i])
+                chosen[hashes[i]] = pack(np.frombuffer((texts[i] or "").encode(), np.uint8), thorough=True)
+        yield pa.RecordBatch.from_arrays([pa.array(list(chosen), pa.int64()), pa.array(list(chosen.values()), pa.binary())], names=["node", "body"])
 
 
 class Comparison:
@@ -290,7 +294,7 @@ _LABELLED = pa.schema([("node", pa.int64()), ("label", pa.int64())])
 
 def _family(table: pa.Table, k: int, threshold: Threshold) -> pa.Table:
     """The components of one family: each class is compared with the later ones not connected to it yet."""
-    node = table.column("doc_id").to_numpy()
+    node = table.column("node").to_numpy()
     order = np.argsort(node, kind="stable")
     bodies = table.column("body").to_pylist()
     block = Comparison([bodies[i] for i in order], k, threshold)
@@ -308,8 +312,8 @@ def _large_families(stars: DataFrame, texts: DataFrame, k: int, threshold: Thres
     """Labels of the classes of families that are too large for one task."""
     pairs = stars.select("a", "b").distinct()
     fanned = pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).alias("salts"))
-    other = pairs.join(fanned, "a").join(texts, F.col("b") == F.col("doc_id")).select("a", F.pmod(F.xxhash64("b"), "salts").alias("salt"), "b", "body")
-    centre = fanned.join(texts, F.col("a") == F.col("doc_id")).select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"), F.col("a").alias("b"), "body")
+    other = pairs.join(fanned, "a").join(texts, F.col("b") == F.col("node")).select("a", F.pmod(F.xxhash64("b"), "salts").alias("salt"), "b", "body")
+    centre = fanned.join(texts, F.col("a") == F.col("node")).select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"), F.col("a").alias("b"), "body")
     judged = other.unionByName(centre).groupBy("a", "salt").applyInArrow(lambda t: _judged(t, k, threshold), "a long, b long, linked boolean")
     judged = written(judged, "judged")
     first = components(judged.where("linked"))
@@ -321,46 +325,65 @@ def _large_families(stars: DataFrame, texts: DataFrame, k: int, threshold: Thres
     members = members.join(spread.select("tile", F.ceil(F.col("size") / BLOCK).alias("blocks")), "tile")
     members = members.withColumn("side", F.pmod(F.xxhash64("node"), "blocks")).withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     members = members.select("tile", "node", "label", "side", F.least("side", "with").alias("i"), F.greatest("side", "with").alias("j"))
-    blocks = members.join(texts, F.col("node") == F.col("doc_id")).select("tile", "i", "j", "node", "label", "side", "body")
+    blocks = members.join(texts, "node").select("tile", "i", "j", "node", "label", "side", "body")
     crossed = blocks.groupBy("tile", "i", "j").applyInArrow(lambda t: _crossed(t, k, threshold), "a long, b long, linked boolean")
     return components(written(judged.where("linked").select("a", "b").union(crossed.select("a", "b")), "links"))
 
 
-def jaccard_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_shingles, component_id for links of similarity num / den or more."""
+def _row_hash():
+    """What tells rows apart that differ in identifier or text, also where the identifier is null."""
+    return F.xxhash64(F.col("doc_id").cast("long"), "text")
+
+
+def _rank():
+    """The order in which rows name their component: identifiers ascending, null ones last."""
+    return F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")
+
+
+def _placed(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """Per row of ``docs``: doc_id, row, n and leader, the first row of its component by ``_rank``."""
     threshold = Threshold(num, den)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _row_hash().alias("row"), "text")
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(5, int(np.ceil(np.log2(max(total, 1) / BUCKET_BYTES))))
-    fields = "bucket long, doc_id long, n long, d1 long, d2 long, keys binary, owners binary"
+    fields = "bucket long, doc_id long, row long, n long, d1 long, d2 long, keys binary, owners binary"
     keyed = written(docs.mapInArrow(partial(_keyed, k=k, threshold=threshold, bits=bits), fields), "tiles")
-    rows = written(keyed.where("bucket = -1").select("doc_id", "n", "d1", "d2"), "set-sizes")
-    classes = written(rows.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("node")), "classes")
+    rows = written(keyed.where("bucket = -1").select("doc_id", "row", "n", "d1", "d2"), "set-sizes")
+    classes = rows.groupBy("n", "d1", "d2").agg(F.min(_rank()).alias("first"))
+    classes = written(classes.select("n", "d1", "d2", "first", F.col("first.row").alias("node")), "classes")
     stars = keyed.where("bucket >= 0").select("bucket", "n", "keys", "owners").groupBy("bucket").applyInArrow(_stars, "tile long, a long, b long")
-    named = classes.where("n > 0 AND node IS NOT NULL").select("d1", "node")
+    named = classes.where("n > 0").select("d1", "node")
     stars = stars.join(named.select(F.col("d1").alias("a"), F.col("node").alias("na")), "a").join(named.select(F.col("d1").alias("b"), F.col("node").alias("nb")), "b")
     stars = written(stars.where("na <> nb").select("tile", F.col("na").alias("a"), F.col("nb").alias("b")), "stars")
     discard(keyed)
-    families = components(stars.select("a", "b").distinct()).select(F.col("node").alias("doc_id"), F.col("label").alias("family"))
-    sizes = families.join(classes.groupBy(F.col("node").alias("doc_id")).agg(F.max("n").alias("n")), "doc_id")
+    families = components(stars.select("a", "b").distinct()).select("node", F.col("label").alias("family"))
+    sizes = families.join(classes.select("node", "n"), "node")
     sizes = sizes.groupBy("family").agg(F.count("*").alias("classes"), F.sum("n").alias("shingles"))
     families = families.join(sizes.select("family", ((F.col("classes") > FAMILY) | (F.col("shingles") > FAMILY_SHINGLES)).alias("large")), "family")
     families = written(families, "families")
-    hit = id_filter(families)
-    texts = docs.mapInArrow(partial(_texts, hit=hit), "doc_id long, body binary").join(families, "doc_id").dropDuplicates(["doc_id", "body"])
+    hit = node_filter(families)
+    texts = docs.mapInArrow(partial(_texts, hit=hit), "node long, body binary").join(families, "node").dropDuplicates(["node", "body"])
     texts = written(texts, "texts")
     small = texts.where("NOT large").groupBy("family").applyInArrow(lambda t: _family(t, k, threshold), "node long, label long")
-    big = families.where("large").select(F.col("doc_id").alias("a"))
+    big = families.where("large").select(F.col("node").alias("a"))
     labels = small
     if not big.isEmpty():
-        labels = labels.unionByName(_large_families(stars.join(big, "a", "left_semi"), texts.where("large").select("doc_id", "body"), k, threshold))
-    labels = labels.groupBy("node").agg(F.min("label").alias("label"))
-    placed = classes.join(labels, "node", "left").select("n", "d1", "d2", F.coalesce("label", "node").alias("component"))
-    out = rows.join(placed, ["n", "d1", "d2"])
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"))
+        labels = labels.unionByName(_large_families(stars.join(big, "a", "left_semi"), texts.where("large").select("node", "body"), k, threshold))
+    labels = written(labels, "family-labels")
+    leaders = labels.join(classes.select("node", "first"), "node").groupBy("label").agg(F.min("first").alias("leader"))
+    placed = classes.join(labels.join(leaders, "label").select("node", "leader"), "node", "left")
+    out = rows.join(placed.select("n", "d1", "d2", F.coalesce("leader", "first").alias("leader")), ["n", "d1", "d2"])
+    return out.select("doc_id", "row", "n", F.when(F.col("n") == 0, _rank()).otherwise(F.col("leader")).alias("leader"))
+
+
+def jaccard_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
+    """Per row of ``docs``: doc_id, n_shingles, component_id for links of similarity num / den or more."""
+    return _placed(docs, k, num, den).select("doc_id", F.col("n").alias("n_shingles"), F.col("leader.doc_id").alias("component_id"))
 
 
 def without_similar(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
-    """``docs`` with one row of each component, that of the least identifier, with all their columns."""
-    stay = jaccard_components(docs, k, num, den).where("doc_id <=> component_id").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(stay, docs["doc_id"].eqNullSafe(stay["_id"]), "left_semi").dropDuplicates(["doc_id"])
+    """``docs`` with one row of each component, with all their columns: that of the least identifier, or one of
+    a null identifier if the component has no other. Texts similar to no other all stay, whatever identifiers
+    they have; of rows equal in identifier and text one stays."""
+    stay = _placed(docs, k, num, den).where("row = leader.row").select(F.col("row").alias("_row")).distinct()
+    return docs.withColumn("_row", _row_hash()).join(stay, "_row", "left_semi").dropDuplicates(["_row", "doc_id"]).select(*docs.columns)

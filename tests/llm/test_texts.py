@@ -152,6 +152,31 @@ def test_jaccard_of_slowly_changing_and_large_groups(spark, monkeypatch):
         assert {r.doc_id: r.component_id for r in jaccard.jaccard_components(docs, 4, 85, 100).collect()} == wanted
 
 
+@pytest.mark.parametrize("family", [1024, 2])
+def test_null_and_repeated_identifiers_lose_no_text(spark, monkeypatch, family):
+    """Each text that is similar to no other stays, through both stages, whatever its identifier."""
+    monkeypatch.setattr(jaccard, "FAMILY", family)
+    a, b, c, d, e, f, g = (" ".join(f"{letter}{i}" for i in range(60)) for letter in "abcdefg")
+    rows = [(None, a), (None, a + " tail"), (None, a), (None, b), (None, b.upper()), (5, c), (5, d), (3, d + " tail")]
+    rows += [(None, e), (7, e + " tail"), (8, e + " end"), (None, f), (9, f), (4, g), (4, g), (None, "one two"), (None, ""), (2, None), (6, " ")]
+    docs = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, note int").repartition(3)
+
+    found = {(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()}
+    assert found == set(rows)
+    got = defaultdict(set)
+    for r in jaccard.jaccard_components(docs, 5, 4, 5).collect():
+        got[r.doc_id].add(r.component_id)
+    assert got == {None: {None, 7, 9}, 5: {5, 3}, 3: {3}, 7: {7}, 8: {7}, 9: {9}, 4: {4}, 2: {2}, 6: {6}}
+
+    def outcome(left):
+        assert left.columns == docs.columns
+        return sorted((r.doc_id or 0, "A" if r.text in (a, a + " tail") else (r.text or "").lower()) for r in left.collect())
+
+    similar = [(0, "A"), (0, b), (5, c), (3, d + " tail"), (7, e + " tail"), (4, g), (0, "one two"), (6, " ")]
+    assert outcome(jaccard.without_similar(docs)) == sorted([*similar, (9, f), (0, ""), (2, "")])
+    assert outcome(jaccard.without_similar(exact_dedup.without_copies(docs))) == sorted([*similar, (0, f), (0, "")])
+
+
 def test_tiles_of_similar_sets_meet():
     """Of random pairs about the threshold, each similar one shares a key, whatever weak parts are left out."""
     rng = np.random.default_rng(5)
