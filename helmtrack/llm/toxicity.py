@@ -15,7 +15,8 @@ hold TRAIN_BYTES bytes of text. Scoring covers all rows and whole texts.
 
 Defined results: a null or empty text has no words and gets the curve's value for ratio 0. Of several
 labels of one identifier the largest counts; rows with a null label or identifier teach nothing. Without
-labels of both classes every score is 0. Repeated rows are scored each; of equal texts in the sample one
+labels of both classes every score is 0. With fewer than 5 rows of a class in the curve's fold (some 25 labels
+of it) no curve is fitted and no discount chosen: the curve is then (-7, 10, 0) and the discount the first. Repeated rows are scored each; of equal texts in the sample one
 teaches. Other columns play no part.
 """
 
