@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -100,18 +103,25 @@ def nearest_clusters_first(members: DataFrame, by: list[str], cluster_distance:
     return members.withColumn("cluster_rank", F.dense_rank().over(order)).where((F.col("cluster_rank") <= k) & feasible)
 
 
+def _cut(df: DataFrame) -> DataFrame:
+    """A reliable checkpoint of a small frame, in spark.checkpoint.dir or (as in tests) a folder of our own."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="helmtrack-checkpoint-"))
+    return df.checkpoint()
+
+
 def diverse(candidates: DataFrame, by: list[str], score: str, key: str, x: str, y: str, least: float, k: int) -> DataFrame:
-    """Greedy choice per group: in order of score, a candidate stays if its mean point distance from all that
-    stay is at least ``least``, up to k. Candidates per group are bounded by the top-k before it."""
-
-    def choose(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values([score, key])
-        kept: list[int] = []
-        points = [np.stack([np.asarray(a), np.asarray(b)], 1) for a, b in zip(group[x], group[y])]
-        for i, p in enumerate(points):
-            if len(kept) < k and all(np.linalg.norm(p - points[j], axis=1).mean() >= least for j in kept):
-                kept.append(i)
-        return group.iloc[kept].assign(rank=range(1, len(kept) + 1))
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in candidates.schema)
-    return candidates.groupBy(*by).applyInPandas(choose, f"{fields}, rank int")
+    """Greedy choice per group: in order of score (null last) and key, a candidate stays if its mean point
+    distance from all that stay is at least ``least``, up to k. Each of k rounds takes every group's first
+    candidate and drops those too near it, so all candidates take part and no group is gathered in a task."""
+    order = F.struct(F.col(score).isNull().alias("unscored"), score, key)
+    left, kept = candidates, []
+    for rank in range(1, k + 1):
+        first = _cut(left.groupBy(*by).agg(F.min_by(F.struct(*candidates.columns), order).alias("first")).select("first.*"))
+        kept.append(first.withColumn("rank", F.lit(rank)))
+        taken = first.select(*[F.col(c).alias(f"_{c}") for c in (*by, key, x, y)])
+        same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]
+        far = mean_pointwise(F.col(x), F.col(y), F.col(f"_{x}"), F.col(f"_{y}"))
+        left = left.join(taken, same).where(~F.col(key).eqNullSafe(F.col(f"_{key}")) & (far >= least) & ~F.isnan(far)).select(*candidates.columns)
+    return reduce(DataFrame.unionByName, kept) if kept else candidates.withColumn("rank", F.lit(0)).limit(0)

@@ -183,9 +183,8 @@ def f11_limited_resample(spark, sf_dir):
 
 @query()
 def t6_diverse(spark, sf_dir):
-    """Of each label's 40 trajectories nearest to its mean, up to 5 that are far enough apart."""
+    """Of each label's trajectories, from the nearest to its mean on, up to 5 that are far enough apart."""
     rows = trajectories(spark, sf_dir)
     centres = aggregates.mean_trace(traces(spark, sf_dir), ["label"], "trace")
     scored = rows.join(centres, "label").select("label", "vec_id", "x", "y", match.squared_distance(F.col("trace"), F.col("mean")).alias("score"))
-    near = match.top_k(scored, ["label"], ["score", "vec_id"], 40).drop("rank")
-    return match.diverse(near, ["label"], "score", "vec_id", "x", "y", 1.0, 5).select("label", "vec_id", "rank")
+    return match.diverse(scored, ["label"], "score", "vec_id", "x", "y", 1.0, 5).select("label", "vec_id", "rank")
