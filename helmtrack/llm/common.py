@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 
@@ -16,33 +15,37 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or (as in tests) one of our own."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Only where it is unset and all runs on
+    one machine (as in tests) it is a temporary folder; on a cluster an unset folder is an error."""
     context = spark.sparkContext
     found = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not found:
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="helmtrack-checkpoint-")
     if not context.getCheckpointDir():
         context.setCheckpointDir(found)
     return found
 
 
+#: Fixed value: Spark's setting by which a query's shuffle files go when it ends. An intermediate's plan is run once.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read back: lineage ends here, and a lost
     executor costs a reread, not a recomputation."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/helmtrack/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    release(spark)
+    was = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if was is None else spark.conf.set(_CLEANUP, was)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Lets Spark's cleaner drop the shuffle files of plans that are done; it acts when the driver's garbage
-    is collected, which by itself may be half an hour later."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def discard(df: DataFrame) -> None:
     """Deletes the files of a written intermediate from which nothing is to be read any more."""
     context = df.sparkSession.sparkContext

@@ -1,91 +1,69 @@
 """Documents whose sets of word shingles are similar: an exact n-gram Jaccard join.
 
-Two sets of similarity J or more differ in at most D shingles, where D follows from their sizes. Tiles hold
-sets of neighbouring size bands. In a tile the hashes are split into D + 1 parts; two similar sets must be
-equal in at least one of them, so a set enters one tile for each of its parts, keyed by a hash of that part.
-No pair of similar sets is missed, and a shingle that very many documents hold doesn't bring them together
-unless the rest of the part is equal too. Parts of no or one shingle would bring strangers together: there are
-some spare parts beyond D + 1, and a set with no more such weak parts than spare ones leaves them out. Similar
-sets are equal in more parts than are spare, so at least one part that both enter is among them.
-
-Equal sets are one class from the start. Classes that meet in tiles form families, mostly small, and each
-member's text travels once, to its family: there hashed bitmaps bound the overlap of a pair from above by
-bit counts, and what passes is decided by intersecting the sorted arrays. A pair that is connected already
-isn't compared. Families of more than FAMILY classes or FAMILY_SHINGLES shingles are not gathered: in each
-of their tiles, each class is compared with the least one, in blocks of bounded size. Where all are similar,
-the tile is done: its classes are connected. Only tiles with a failed comparison and members in different
-components have all their pairs across components compared, again in blocks. So the links found connect
-just what all links would connect, without emitting all pairs of a group of copies.
-
-Defined results: a null text and one without words have an empty set, linked with nothing. A document of
-fewer words than a shingle has its whole sequence as one shingle. A component has the name of its least
-identifier. Rows with a null identifier are compared like all others but can't name a component; without any
-other row in it its name is null. Repeated rows are one class. Inside, rows and classes are told apart by a hash
-of identifier and text, so rows that share an identifier but not a text are linked only if these are similar.
-An empty table gives an empty result. Other columns play no part.
+1. Chunks of documents count their shingles and send them, pre-aggregated, to buckets of their hashes; the
+   buckets answer how many sets hold each. Shingles of one set only can't be shared and go no further.
+2. A set's shingles are ordered from rare to common. Two similar sets of sizes m <= n share a shingle that is
+   among the first m - ceil(2J / (1 + J) m) + 1 of the smaller and the first n - ceil(J n) + 1 of the larger one:
+   the first shingle in the order that both hold. So a set enters a tile for each of these shingles that
+   other sets hold too, per size band; a set of the next band enters the tile only as the larger one. Phrases that
+   many documents hold come last in the order and don't bring strangers together.
+3. A tile is compared in rounds, never with all its pairs as rows. First, its members meet one pivot; the pairs are
+   made distinct over all tiles. Tiles whose members are then connected are done. The others take some PIVOTS new
+   pivots a round, among the members that may be the smaller one, until all are connected or each was a pivot.
+   Members are dealt to blocks of BLOCK, to which the pivots are sent. In a block, hashed bitmaps bound the overlap
+   of a pair from above by bit counts, and what passes is decided by intersecting the sorted arrays. A pair
+   that is connected already isn't compared. So the links found connect just what all links would connect.
+
+Equal sets are one class from the start. Defined results: a null text and one without words have an empty set,
+linked with nothing. A document of fewer words than a shingle has its whole sequence as one shingle. A
+component has the name of its least identifier. Rows with a null identifier are compared like all others but
+can't name a component; without any other row in it its name is null. Repeated rows are one class. Rows are told
+apart by a hash of identifier and text, so rows that share an identifier but not a text are linked only
+if these are similar. An empty table gives an empty result. Other columns play no part.
 """
 
 from __future__ import annotations
 
-import math
-from functools import lru_cache, partial
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helmtrack.llm.chunks import arrow_rows, by_bucket
+from helmtrack.llm.chunks import arrow_rows, bucket_bits, by_bucket, chunked, opened
 from helmtrack.llm.common import discard, pack, pack_sorted, unpack, unpack_sorted, written
 from helmtrack.llm.components import components
 from helmtrack.llm.words import joined_hashes, mixed, word_hashes
 
-#: Text bytes whose shingles are hashed together; members of a block of comparisons.
-SLICE_BYTES, BLOCK = 3_000_000, 256
-#: Classes and shingles of a family that one task takes.
-FAMILY, FAMILY_SHINGLES = 1024, 2_000_000
-#: Bits of a tile key within its bucket; a chance collision only costs a comparison.
-KEY_BITS = 40
-#: Text bytes for which there is one bucket of tile keys.
-BUCKET_BYTES = 16_000_000
+#: Members of a block of comparisons, and pivots that a tile takes in a round after the first.
+BLOCK, PIVOTS = 256, 64
+#: Bits of a shingle's hash beyond the logarithm of their number, for counting; a chance collision only
+#: makes a shingle seem more common than it is.
+SPARE_BITS = 8
 
 
 class Threshold:
-    """Similarity of at least num / den, its size bands and the number of parts of each tile."""
+    """Similarity of at least num / den: size bands and the numbers of leading shingles."""
 
     def __init__(self, num: int, den: int):
         self.num, self.den = num, den
 
-    def band(self, n: int) -> tuple[int, int, int]:
-        """Number, lower and upper size of the band of n; set sizes that differ by more than one band's ratio
-        can't be similar."""
-        low, number = 1, 0
-        while (high := self.den * low // self.num) < n:
-            low, number = high + 1, number + 1
-        return number, low, high
-
-    def parts(self, high: int) -> int:
-        """One more than the most shingles by which similar sets differ, the smaller of at most ``high``."""
-        return (high + self.den * high // self.num) * (self.den - self.num) // (self.den + self.num) + 1
-
-    @lru_cache(maxsize=4096)  # noqa: B019  a few objects live as long as their worker
-    def spare(self, high: int) -> int:
-        """Parts beyond those of ``parts``: about as many as the weak parts that all but a few sets of the tile
-        have; none where that many would make the parts of small sets weaker still."""
-        for spare in range(1, self.parts(high) // 4 + 1):
-            parts = self.parts(high) + spare
-            mean = high / parts
-            weak = parts * math.exp(-mean) * (1 + mean)
-            if weak + 2 * math.sqrt(weak) <= spare:
-                return spare
-        return 0
-
-    def tiles(self, n: int) -> list[tuple[int, int, int]]:
-        """(tile, parts, spare ones of them) for a set of n shingles: as one of the smaller sets, and of the
-        larger ones."""
-        number, low, high = self.band(n)
-        tops = [(number, high)] + [(number - 1, low - 1)] * (number > 0)
-        return [(tile, self.parts(top) + self.spare(top), self.spare(top)) for tile, top in tops]
+    def bands(self, n: np.ndarray) -> np.ndarray:
+        """The band of each size; sizes that are two bands apart can't be similar."""
+        tops, low = [], 1
+        while not tops or tops[-1] < n.max(initial=0):
+            tops.append(self.den * low // self.num)
+            low = tops[-1] + 1
+        return np.searchsorted(tops, n)
+
+    def leading(self, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How many leading shingles a set of n enters as the smaller and as the larger one of a pair; none
+        where the only similar set is an equal one."""
+        least_common = -(-2 * self.num * n // (self.num + self.den))
+        least_size = -(-self.num * n // self.den)
+        only_equal = (least_common == n) & (least_size == n) & (self.den * n // self.num == n)
+        return np.where(only_equal, 0, n - least_common + 1), np.where(only_equal, 0, n - least_size + 1)
 
     def similar(self, common, a, b):
         return self.den * common >= self.num * (a + b - common)
@@ -101,7 +79,7 @@ def shingle_sets(texts: list, k: int) -> list[np.ndarray]:
     out, start = [], 0
     for count in n.tolist():
         if count >= k:
-            out.append(np.unique(joined[start : start + count - k + 1]))
+            out.append(np.unique(mixed(joined[start : start + count - k + 1], 13)))
         elif count:
             out.append(mixed(joined_hashes(hashes[start : start + count], count), count))
         else:
@@ -110,133 +88,79 @@ def shingle_sets(texts: list, k: int) -> list[np.ndarray]:
     return out
 
 
-def tile_keys(found: np.ndarray, threshold: Threshold) -> np.ndarray:
-    """The key of each part of each tile that a set enters, without weak parts if few enough are."""
-    scattered = np.sort(mixed(found, 13))
-    sums = np.append(np.uint64(0), np.cumsum(mixed(scattered, 14), dtype=np.uint64))
-    keys = []
-    for tile, parts, spare in threshold.tiles(len(found)):
-        part = ((scattered >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-        bounds = np.searchsorted(part, np.arange(parts + 1, dtype=np.uint64))
-        content = sums[bounds[1:]] - sums[bounds[:-1]]
-        made = mixed(mixed(content, 15) + np.arange(parts, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(tile * 0xD6E8FEB86659FD93 & 0xFFFFFFFFFFFFFFFF))
-        strong = np.diff(bounds) > 1
-        keys.append(made[strong] if parts - strong.sum() <= spare else made)
-    return np.concatenate(keys)
+class Chunk:
+    """The sets of a chunk, each distinct one once, and the keys under which their shingles are counted."""
 
+    def __init__(self, payload: bytes, k: int, key_bits: int):
+        table = opened(payload)
+        self.ids, self.rows, self.texts = (table.column(c).to_pylist() for c in ("doc_id", "row", "text"))
+        sets = shingle_sets(self.texts, k)
+        self.sizes = [len(s) for s in sets]
+        self.nodes = [b"".join(int(mixed(s, salt).sum(dtype=np.uint64)).to_bytes(8, "big") for salt in (11, 12)) for s in sets]
+        first = {node: i for i, node in reversed(list(enumerate(self.nodes)))}
+        self.distinct = sorted(i for i in first.values() if self.sizes[i])
+        self.n = np.array([self.sizes[i] for i in self.distinct], np.int64)
+        self.shingles = np.concatenate([*(sets[i] for i in self.distinct), np.zeros(0, np.uint64)])
+        self.low = np.uint64(64 - key_bits)
+        self.keys, self.at, self.counts = np.unique(self.shingles >> self.low, return_inverse=True, return_counts=True)
 
-def _slices(batches):
-    """Bounded (ids, row hashes, texts) of the rows."""
+    def buckets(self, bits: int) -> list[tuple[int, int, int]]:
+        return by_bucket(self.keys << self.low, bits)
+
+
+_SENT = pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
+_BACK = pa.schema([("chunk", pa.int64()), ("bucket", pa.int64()), ("payload", pa.binary())])
+
+
+def _sent(batches, k: int, key_bits: int, bits: int):
     for batch in batches:
-        ids, hashes, texts = (batch.column(c).to_pylist() for c in ("doc_id", "row", "text"))
-        start, size = 0, 0
-        for i, t in enumerate(texts):
-            size += len(t or "")
-            if size >= SLICE_BYTES or i == len(texts) - 1:
-                yield ids[start : i + 1], hashes[start : i + 1], texts[start : i + 1]
-                start, size = i + 1, 0
-
-
-_KEYED = pa.schema([("bucket", pa.int64()), ("doc_id", pa.int64()), ("row", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("keys", pa.binary()), ("owners", pa.binary())])
-
-
-def _signed(x) -> int:
-    return int(np.uint64(x).astype(np.int64))
-
-
-def _keyed(batches, k: int, threshold: Threshold, bits: int):
-    for ids, hashes, texts in _slices(batches):
-        rows, keys, owners, seen = [], [], [], {}
-        for doc, row, found in zip(ids, hashes, shingle_sets(texts, k)):
-            d1, d2 = mixed(found, 11).sum(dtype=np.uint64), mixed(found, 12).sum(dtype=np.uint64)
-            rows.append((-1, doc, row, len(found), _signed(d1), _signed(d2), None, None))
-            if len(found) and d1 not in seen:
-                seen[d1] = len(seen)
-                keys.append(tile_keys(found, threshold))
-                owners.append(np.full(len(keys[-1]), seen[d1], np.int32))
-        yield from arrow_rows(rows, _KEYED).to_batches()
-        if not keys:
-            continue
-        low = np.uint64(64 - bits - KEY_BITS)
-        every, owner, table = np.concatenate(keys) >> low << low, np.concatenate(owners), np.array(list(seen), np.uint64)
-        order = np.argsort(every, kind="stable")
-        every, owner = every[order], owner[order]
-        out = []
-        for b, i, j in by_bucket(every, bits):
-            used, local = np.unique(owner[i:j], return_inverse=True)
-            kind = "<u2" if len(used) <= 65536 else "<u4"
-            body = pack(np.frombuffer(table[used].tobytes() + local.astype(kind).tobytes(), np.uint8))
-            out.append((b, None, None, len(used), None, None, pack_sorted(every[i:j] >> low), body))
-        yield from arrow_rows(out, _KEYED).to_batches()
-
-
-_STARS = pa.schema([("tile", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
-
-
-def _stars(table: pa.Table) -> pa.Table:
-    """The tiles of a bucket that have several members, each set of members once: rows of (tile, least
-    member, other member). A member is named by its digest."""
-    keys, owners = [], []
-    for key, body, n in zip(table.column("keys").to_pylist(), table.column("owners").to_pylist(), table.column("n").to_pylist()):
-        raw = unpack(body, np.uint8)
-        keys.append(unpack_sorted(key))
-        owners.append(raw[: 8 * n].view("<u8")[raw[8 * n :].view("<u2" if n <= 65536 else "<u4")])
-    key, owner = np.concatenate(keys), np.concatenate(owners)
-    _, first, group, n = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
-    shared = n[group] > 1
-    key, owner = key[shared], owner[shared]
-    order = np.lexsort((owner, key))
-    key, owner = key[order], owner[order]
-    fresh = np.ones(len(key), bool)
-    fresh[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])
-    key, owner = key[fresh], owner[fresh]
-    head = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
-    size = np.diff(np.append(head, len(key)))
-    head, size = head[size > 1], size[size > 1]
-    if not len(head):
-        return arrow_rows([], _STARS)
-    sums = np.append(np.uint64(0), np.cumsum(mixed(owner, 21), dtype=np.uint64))
-    name, one = np.unique(mixed(sums[head + size] - sums[head], 22) + size.astype(np.uint64), return_index=True)
-    head, size = head[one], size[one] - 1
-    at = np.repeat(head + 1, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-    columns = [np.repeat(name, size), np.repeat(owner[head], size), owner[at]]
-    return pa.Table.from_arrays([pa.array(c.view(np.int64)) for c in columns], schema=_STARS)
-
-
-#: Bits of the filter of classes that spare most texts a shuffle; it is of this size for any input.
-FILTER_BITS = 1 << 23
-
-
-def _filter_places(nodes: np.ndarray) -> np.ndarray:
-    return (mixed(nodes.astype(np.int64).view(np.uint64), 31) & np.uint64(FILTER_BITS - 1)).astype(np.int64)
-
-
-def node_filter(nodes: DataFrame) -> np.ndarray:
-    """A bitmap of FILTER_BITS bits with the hashes of all nodes; other rows may hit it too."""
-
-    def run(batches):
-        bits = np.zeros(FILTER_BITS, bool)
-        for batch in batches:
-            bits[_filter_places(batch.column(0).to_numpy())] = True
-        at = np.flatnonzero(np.packbits(bits))
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(np.packbits(bits)[at], pa.int32())], names=["at", "bits"])
-
-    out = np.zeros(FILTER_BITS // 8, np.uint8)
-    for row in nodes.select("node").mapInArrow(run, "at int, bits int").groupBy("at").agg(F.bit_or("bits").alias("bits")).toLocalIterator():
-        out[row["at"]] = row["bits"]
-    return np.unpackbits(out).astype(bool)
-
-
-def _texts(batches, hit: np.ndarray):
-    """The compressed texts of rows that hit the filter, of repeated rows one."""
-    seen = set()
-    for _, hashes, texts in _slices(batches):
-        chosen = {}
-        for i in np.flatnonzero(hit[_filter_places(np.array(hashes, np.int64))]):
-            if hashes[i] not in seen:
-                seen.add(hashes[i])
-                chosen[hashes[i]] = pack(np.frombuffer((texts[i] or "").encode(), np.uint8), thorough=True)
-        yield pa.RecordBatch.from_arrays([pa.array(list(chosen), pa.int64()), pa.array(list(chosen.values()), pa.binary())], names=["node", "body"])
+        for number, payload in zip(batch.column("chunk").to_pylist(), batch.column("payload").to_pylist()):
+            chunk = Chunk(payload, k, key_bits)
+            rows = [(b, number, pack_sorted(chunk.keys[i:j]), pack(chunk.counts[i:j].astype("<u4"))) for b, i, j in chunk.buckets(bits)]
+            yield from arrow_rows(rows, _SENT).to_batches()
+
+
+def _commonness(table: pa.Table) -> pa.Table:
+    """For each key that a chunk sent: 0 if one set holds it, else the logarithm of how many do."""
+    chunk, bucket = table.column("chunk").to_pylist(), table.column("bucket").to_pylist()
+    keys = [unpack_sorted(k) for k in table.column("keys").to_pylist()]
+    counts = np.concatenate([unpack(c, "<u4") for c in table.column("counts").to_pylist()])
+    _, inverse = np.unique(np.concatenate(keys), return_inverse=True)
+    level = np.log2(np.bincount(inverse, counts)).astype(np.uint8)[inverse]
+    ends = np.cumsum([len(k) for k in keys])
+    return arrow_rows([(c, b, pack(level[e - len(k) : e])) for c, b, k, e in zip(chunk, bucket, keys, ends)], _BACK)
+
+
+_TILED = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("n", pa.int64()), ("node", pa.binary()), ("tiles", pa.list_(pa.int64())), ("smaller", pa.list_(pa.bool_())), ("body", pa.binary())])
+
+
+def _tiled(table: pa.Table, k: int, key_bits: int, threshold: Threshold) -> pa.Table:
+    """A chunk's rows; the first of each distinct set with the tiles it enters and its compressed text."""
+    answers = sorted(zip(table.column("bucket").to_pylist(), table.column("payload").to_pylist()), key=lambda r: r[0])
+    chunk = Chunk(answers[0][1], k, key_bits)
+    entered: dict[int, tuple] = {}
+    if len(chunk.shingles):
+        level = np.concatenate([unpack(p, np.uint8) for _, p in answers[1:]])[chunk.at]
+        owner = np.repeat(np.arange(len(chunk.n)), chunk.n)
+        order = np.lexsort((chunk.shingles, level, owner))
+        start = np.cumsum(chunk.n) - chunk.n
+        place = np.arange(len(order)) - start[owner]  # owners are in order already
+        as_smaller, as_larger = threshold.leading(chunk.n)
+        kept = np.flatnonzero((level[order] > 0) & (place < as_larger[owner]))
+        shingle, owner, place = chunk.shingles[order][kept], owner[kept], place[kept]
+        band = threshold.bands(chunk.n)[owner].astype(np.uint64)
+        own, below = (mixed(shingle + b * np.uint64(0xD6E8FEB86659FD93), 17).view(np.int64) for b in (band, band - np.uint64(1)))
+        small = place < as_smaller[owner]
+        bounds = np.searchsorted(owner, np.arange(len(chunk.n) + 1))
+        for s, (i, j) in enumerate(zip(bounds, bounds[1:])):
+            if i < j:
+                beside = below[i:j] if band[i] else below[:0]
+                entered[chunk.distinct[s]] = np.concatenate([own[i:j], beside]).tolist(), small[i:j].tolist() + [False] * len(beside)
+    out = []
+    for i, (doc, row, n, node, text) in enumerate(zip(chunk.ids, chunk.rows, chunk.sizes, chunk.nodes, chunk.texts)):
+        tiles, smaller = entered.get(i, (None, None))
+        out.append((doc, row, n, node, tiles, smaller, pack(np.frombuffer(text.encode(), np.uint8), thorough=True) if tiles else None))
+    return arrow_rows(out, _TILED)
 
 
 class Comparison:
@@ -263,71 +187,70 @@ class Comparison:
         return out
 
 
-_JUDGED = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("linked", pa.bool_())])
-
-
-def _judged(table: pa.Table, k: int, threshold: Threshold) -> pa.Table:
-    """A centre against its block of other sets."""
-    centre, other = table.column("a")[0].as_py(), table.column("b").to_numpy()
-    block = Comparison(table.column("body").to_pylist(), k, threshold)
-    hub = int(np.flatnonzero(other == centre)[0])
-    rest = np.flatnonzero(other != centre)
-    return pa.Table.from_arrays([pa.array(np.full(len(rest), centre)), pa.array(other[rest]), pa.array(block.linked(hub, rest))], schema=_JUDGED)
+_LINKS = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
 
-def _crossed(table: pa.Table, k: int, threshold: Threshold) -> pa.Table:
-    """All similar pairs of a block whose components differ; of a block of two parts, those across."""
-    node, label, side = (table.column(c).to_numpy() for c in ("node", "label", "side"))
-    two = table.column("i")[0].as_py() != table.column("j")[0].as_py()
-    block = Comparison(table.column("body").to_pylist(), k, threshold)
+def _links(table: pa.Table, k: int, threshold: Threshold) -> pa.Table:
+    """The similar pairs of a block, each of a pivot and a member of another component. What the block itself
+    connects isn't compared again."""
+    node, label, pivot, body = (table.column(c).to_pylist() for c in ("node", "label", "pivot", "body"))
+    order = sorted(range(len(node)), key=lambda i: (node[i], not pivot[i]))
+    order = [i for n, i in enumerate(order) if not n or node[i] != node[order[n - 1]]]  # a pivot is a member too
+    if len(order) < 2:
+        return arrow_rows([], _LINKS)
+    block = Comparison([body[i] for i in order], k, threshold)
+    component = np.unique([label[i] for i in order], return_inverse=True)[1]
     found = []
-    for i in range(len(node)):
-        others = np.arange(i + 1, len(node))
-        others = others[(label[others] != label[i]) & ((side[others] != side[i]) | (not two))]
-        if len(others):
-            found += [(int(node[i]), int(node[o]), True) for o in others[block.linked(i, others)]]
-    return arrow_rows(found, _JUDGED)
-
-
-_LABELLED = pa.schema([("node", pa.int64()), ("label", pa.int64())])
-
-
-def _family(table: pa.Table, k: int, threshold: Threshold) -> pa.Table:
-    """The components of one family: each class is compared with the later ones not connected to it yet."""
-    node = table.column("node").to_numpy()
-    order = np.argsort(node, kind="stable")
-    bodies = table.column("body").to_pylist()
-    block = Comparison([bodies[i] for i in order], k, threshold)
-    label = np.arange(len(node))
-    for i in range(len(node)):
-        others = np.arange(i + 1, len(node))
-        others = others[label[others] != label[i]]
+    for p in [n for n, i in enumerate(order) if pivot[i]]:
+        others = np.flatnonzero(component != component[p])
         if len(others):
-            met = np.unique(label[np.append(others[block.linked(i, others)], i)])
-            label[np.isin(label, met)] = met[0]
-    return pa.Table.from_arrays([pa.array(node[order]), pa.array(node[order][label])], schema=_LABELLED)
-
-
-def _large_families(stars: DataFrame, texts: DataFrame, k: int, threshold: Threshold) -> DataFrame:
-    """Labels of the classes of families that are too large for one task."""
-    pairs = stars.select("a", "b").distinct()
-    fanned = pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).alias("salts"))
-    other = pairs.join(fanned, "a").join(texts, F.col("b") == F.col("node")).select("a", F.pmod(F.xxhash64("b"), "salts").alias("salt"), "b", "body")
-    centre = fanned.join(texts, F.col("a") == F.col("node")).select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"), F.col("a").alias("b"), "body")
-    judged = other.unionByName(centre).groupBy("a", "salt").applyInArrow(lambda t: _judged(t, k, threshold), "a long, b long, linked boolean")
-    judged = written(judged, "judged")
-    first = components(judged.where("linked"))
-    todo = stars.join(judged.where("NOT linked"), ["a", "b"], "left_semi").select("tile").distinct()
-    members = stars.join(todo, "tile", "left_semi")
-    members = members.select("tile", F.explode(F.array("a", "b")).alias("node")).distinct()
-    members = members.join(first, "node", "left").select("tile", "node", F.coalesce("label", "node").alias("label"))
-    spread = members.groupBy("tile").agg(F.count("*").alias("size"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-    members = members.join(spread.select("tile", F.ceil(F.col("size") / BLOCK).alias("blocks")), "tile")
-    members = members.withColumn("side", F.pmod(F.xxhash64("node"), "blocks")).withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    members = members.select("tile", "node", "label", "side", F.least("side", "with").alias("i"), F.greatest("side", "with").alias("j"))
-    blocks = members.join(texts, "node").select("tile", "i", "j", "node", "label", "side", "body")
-    crossed = blocks.groupBy("tile", "i", "j").applyInArrow(lambda t: _crossed(t, k, threshold), "a long, b long, linked boolean")
-    return components(written(judged.where("linked").select("a", "b").union(crossed.select("a", "b")), "links"))
+            hit = others[block.linked(p, others)]
+            found += [(node[order[p]], node[order[h]]) for h in hit]
+            component[np.isin(component, component[hit])] = component[p]
+    return arrow_rows(found, _LINKS)
+
+
+def _compared(guests: DataFrame, pivots: DataFrame, bodies: DataFrame, k: int, threshold: Threshold) -> DataFrame:
+    """Links of the pivots (meeting, node, label, blocks) with the guests (the same) of their meeting."""
+    where = F.pmod(F.xxhash64("node", F.lit(7)), F.col("blocks"))
+    rows = guests.select("meeting", where.alias("block"), "node", "label", F.lit(False).alias("pivot"))
+    spread = pivots.select("meeting", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), "node", "label", F.lit(True).alias("pivot"))
+    met = rows.unionByName(spread).join(bodies, "node")
+    return met.groupBy("meeting", "block").applyInArrow(lambda t: _links(t, k, threshold), "a binary, b binary")
+
+
+def _blocks(column: str):
+    return F.ceil(F.col(column) / BLOCK).alias("blocks")
+
+
+def _labels(entries: DataFrame, bodies: DataFrame, k: int, threshold: Threshold) -> DataFrame:
+    """(node, label) of all nodes that are linked. ``entries``: tile, node, smaller."""
+    tiles = entries.groupBy("tile").agg(F.min(F.when(F.col("smaller"), F.col("node"))).alias("pivot"), F.min("node").alias("least"), F.max("node").alias("most"))
+    tiles = tiles.where("least <> most AND pivot IS NOT NULL").select("tile", "pivot")
+    entries = written(entries.join(tiles, "tile").groupBy("tile", "node", "pivot").agg(F.max("smaller").alias("smaller")), "tile-entries")
+    pairs = entries.where("node <> pivot").select("pivot", "node").distinct()
+    sizes = pairs.groupBy("pivot").agg(F.count("*").alias("n")).select("pivot", F.xxhash64("pivot").alias("meeting"), _blocks("n"))
+    guests = pairs.join(sizes, "pivot").select("meeting", "node", F.col("node").alias("label"), "blocks")
+    links = written(_compared(guests, sizes.select("meeting", F.col("pivot").alias("node"), F.col("pivot").alias("label"), "blocks"), bodies, k, threshold), "links")
+    labels = components(links)
+    open_ = entries.where("node <> pivot").select("tile", "node", "smaller")
+    turn = 1
+    while True:
+        turn += 1
+        known = open_.join(labels, "node", "left").select("tile", "node", "smaller", F.coalesce("label", "node").alias("label"))
+        tiles = known.groupBy("tile").agg(
+            F.count("*").alias("n"), F.count_if("smaller").alias("left"), F.min("label").alias("low"), F.max("label").alias("high"), F.sum(F.xxhash64("node", "smaller").cast("decimal(38,0)")).alias("digest")
+        )
+        tiles = tiles.where("low <> high AND left > 0").groupBy("n", "left", "digest").agg(F.min("tile").alias("tile"))  # equal tiles: one
+        known = written(known.join(tiles.select("tile", "left", _blocks("n")), "tile"), "open-tiles")
+        if known.isEmpty():
+            return labels
+        chosen = F.col("smaller") & (F.pmod(F.xxhash64("node", F.lit(turn)), F.ceil(F.col("left") / PIVOTS)) == 0)
+        meeting = known.select(F.col("tile").alias("meeting"), "node", "label", "blocks", chosen.alias("chosen"))
+        more = _compared(meeting.drop("chosen"), meeting.where("chosen").drop("chosen"), bodies, k, threshold)
+        links = written(links.union(more), "links")
+        labels = components(links)
+        open_ = known.where(~chosen).select("tile", "node", "smaller")
 
 
 def _row_hash():
@@ -343,36 +266,25 @@ def _rank():
 def _placed(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """Per row of ``docs``: doc_id, row, n and leader, the first row of its component by ``_rank``."""
     threshold = Threshold(num, den)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _row_hash().alias("row"), "text")
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = max(5, int(np.ceil(np.log2(max(total, 1) / BUCKET_BYTES))))
-    fields = "bucket long, doc_id long, row long, n long, d1 long, d2 long, keys binary, owners binary"
-    keyed = written(docs.mapInArrow(partial(_keyed, k=k, threshold=threshold, bits=bits), fields), "tiles")
-    rows = written(keyed.where("bucket = -1").select("doc_id", "row", "n", "d1", "d2"), "set-sizes")
-    classes = rows.groupBy("n", "d1", "d2").agg(F.min(_rank()).alias("first"))
-    classes = written(classes.select("n", "d1", "d2", "first", F.col("first.row").alias("node")), "classes")
-    stars = keyed.where("bucket >= 0").select("bucket", "n", "keys", "owners").groupBy("bucket").applyInArrow(_stars, "tile long, a long, b long")
-    named = classes.where("n > 0").select("d1", "node")
-    stars = stars.join(named.select(F.col("d1").alias("a"), F.col("node").alias("na")), "a").join(named.select(F.col("d1").alias("b"), F.col("node").alias("nb")), "b")
-    stars = written(stars.where("na <> nb").select("tile", F.col("na").alias("a"), F.col("nb").alias("b")), "stars")
-    discard(keyed)
-    families = components(stars.select("a", "b").distinct()).select("node", F.col("label").alias("family"))
-    sizes = families.join(classes.select("node", "n"), "node")
-    sizes = sizes.groupBy("family").agg(F.count("*").alias("classes"), F.sum("n").alias("shingles"))
-    families = families.join(sizes.select("family", ((F.col("classes") > FAMILY) | (F.col("shingles") > FAMILY_SHINGLES)).alias("large")), "family")
-    families = written(families, "families")
-    hit = node_filter(families)
-    texts = docs.mapInArrow(partial(_texts, hit=hit), "node long, body binary").join(families, "node").dropDuplicates(["node", "body"])
-    texts = written(texts, "texts")
-    small = texts.where("NOT large").groupBy("family").applyInArrow(lambda t: _family(t, k, threshold), "node long, label long")
-    big = families.where("large").select(F.col("node").alias("a"))
-    labels = small
-    if not big.isEmpty():
-        labels = labels.unionByName(_large_families(stars.join(big, "a", "left_semi"), texts.where("large").select("node", "body"), k, threshold))
-    labels = written(labels, "family-labels")
-    leaders = labels.join(classes.select("node", "first"), "node").groupBy("label").agg(F.min("first").alias("leader"))
+    chunks = chunked(docs.select(F.col("doc_id").cast("long").alias("doc_id"), _row_hash().alias("row"), "text"))
+    bits = bucket_bits(chunks)
+    total = chunks.agg(F.sum("bytes")).first()[0] or 0
+    key_bits = min(64, max(24, total.bit_length() - 2 + SPARE_BITS))
+    sent = chunks.mapInArrow(partial(_sent, k=k, key_bits=key_bits, bits=bits), "bucket long, chunk long, keys binary, counts binary")
+    answers = written(sent.groupBy("bucket").applyInArrow(_commonness, "chunk long, bucket long, payload binary"), "commonness")
+    asked = chunks.select("chunk", F.lit(-1).cast("long").alias("bucket"), "payload").unionByName(answers)
+    fields = "doc_id long, row long, n long, node binary, tiles array<long>, smaller array<boolean>, body binary"
+    tiled = written(asked.groupBy("chunk").applyInArrow(lambda t: _tiled(t, k, key_bits, threshold), fields), "sets")
+    discard(chunks)
+    discard(answers)
+    rows = written(tiled.select("doc_id", "row", "n", "node"), "set-rows")
+    entries = tiled.where("tiles IS NOT NULL").select("node", F.explode(F.arrays_zip("tiles", "smaller")).alias("e")).select(F.col("e.tiles").alias("tile"), "node", F.col("e.smaller").alias("smaller"))
+    labels = _labels(entries, tiled.where("body IS NOT NULL").select("node", "body").dropDuplicates(["node"]), k, threshold)
+    discard(tiled)
+    classes = written(rows.groupBy("n", "node").agg(F.min(_rank()).alias("first")), "classes")
+    leaders = labels.join(classes, "node").groupBy("label").agg(F.min("first").alias("leader"))
     placed = classes.join(labels.join(leaders, "label").select("node", "leader"), "node", "left")
-    out = rows.join(placed.select("n", "d1", "d2", F.coalesce("leader", "first").alias("leader")), ["n", "d1", "d2"])
+    out = rows.join(placed.select("n", "node", F.coalesce("leader", "first").alias("leader")), ["n", "node"])
     return out.select("doc_id", "row", "n", F.when(F.col("n") == 0, _rank()).otherwise(F.col("leader")).alias("leader"))
 
 

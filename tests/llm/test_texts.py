@@ -141,21 +141,20 @@ def test_jaccard_components(docs, rows, nothing, k, num, den):
 
 
 def test_jaccard_of_slowly_changing_and_large_groups(spark, monkeypatch):
-    """Chains in which neighbours alone are similar, also where families are too large for one task."""
+    """Chains in which neighbours alone are similar, also where tiles take many rounds and blocks."""
     words = [f"w{i}" for i in range(160)]
     rows = [(i, " ".join(words[i : i + 100])) for i in range(0, 40, 2)] + [(100 + i, " ".join(words[:50] + [f"x{i}"])) for i in range(30)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     sets = sets_of(rows, 4)
     wanted = components(sets, 85, 100)
-    for most in (1024, 2):
-        monkeypatch.setattr(jaccard, "FAMILY", most)
+    for block, pivots in ((256, 64), (7, 1)):
+        monkeypatch.setattr(jaccard, "BLOCK", block)
+        monkeypatch.setattr(jaccard, "PIVOTS", pivots)
         assert {r.doc_id: r.component_id for r in jaccard.jaccard_components(docs, 4, 85, 100).collect()} == wanted
 
 
-@pytest.mark.parametrize("family", [1024, 2])
-def test_null_and_repeated_identifiers_lose_no_text(spark, monkeypatch, family):
+def test_null_and_repeated_identifiers_lose_no_text(spark):
     """Each text that is similar to no other stays, through both stages, whatever its identifier."""
-    monkeypatch.setattr(jaccard, "FAMILY", family)
     a, b, c, d, e, f, g = (" ".join(f"{letter}{i}" for i in range(60)) for letter in "abcdefg")
     rows = [(None, a), (None, a + " tail"), (None, a), (None, b), (None, b.upper()), (5, c), (5, d), (3, d + " tail")]
     rows += [(None, e), (7, e + " tail"), (8, e + " end"), (None, f), (9, f), (4, g), (4, g), (None, "one two"), (None, ""), (2, None), (6, " ")]
@@ -177,19 +176,23 @@ def test_null_and_repeated_identifiers_lose_no_text(spark, monkeypatch, family):
     assert outcome(jaccard.without_similar(exact_dedup.without_copies(docs))) == sorted([*similar, (0, f), (0, "")])
 
 
-def test_tiles_of_similar_sets_meet():
-    """Of random pairs about the threshold, each similar one shares a key, whatever weak parts are left out."""
+def test_similar_sets_meet_in_a_tile():
+    """Of random pairs about the threshold, each similar one shares a leading shingle, in bands next to each other."""
     rng = np.random.default_rng(5)
-    limit = jaccard.Threshold(85, 100)
-    for n in (1, 2, 5, 12, 40, 100, 333, 1000):
-        for _ in range(60):
-            base = rng.integers(0, 1 << 63, n + n // 3 + 2, dtype=np.uint64)
-            other = max(1, n - int(rng.integers(0, n // 6 + 1)))
-            skip = int(rng.integers(0, n // 8 + 1))
-            a, b = np.unique(base[:n]), np.unique(base[skip : skip + other])
-            common = len(np.intersect1d(a, b))
-            if limit.similar(common, len(a), len(b)):
-                assert set(jaccard.tile_keys(a, limit).tolist()) & set(jaccard.tile_keys(b, limit).tolist())
+    for num, den in ((85, 100), (4, 5), (1, 2)):
+        limit = jaccard.Threshold(num, den)
+        for n in (1, 2, 5, 12, 40, 100, 333, 1000):
+            for _ in range(60):
+                base = rng.permutation(4 * n + 8)
+                other = max(1, n - int(rng.integers(0, n // 6 + 1)))
+                skip = int(rng.integers(0, n // 8 + 1))
+                b, a = sorted((np.sort(base[:n]), np.sort(base[skip : skip + other])), key=len)[::-1]
+                common = len(np.intersect1d(a, b))
+                if limit.similar(common, len(a), len(b)) and common < len(b):
+                    sizes = np.array([len(a), len(b)])
+                    small, large = limit.leading(sizes)
+                    assert set(a[: small[0]]) & set(b[: large[1]])
+                    assert np.diff(limit.bands(sizes))[0] in (0, 1)
 
 
 @pytest.mark.parametrize("keep", ["smallest", "largest"])
