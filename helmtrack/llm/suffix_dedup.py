@@ -42,14 +42,18 @@ from helmtrack.llm.words import mixed
 SPAN = 50
 #: Windows that one passage may hold, at most 32: a mask of its windows is one 32-bit integer.
 REACH = 32
+#: Bits of an anchor's hash beyond those of its bucket.
+SPARE = 30
 #: Passages of one suffix array, unless one anchor has more.
 SHARD = 3000
 LAST_ID = (1 << 63) - 1
 _BASE = 0xD6E8FEB86659FD93
 
 
-def anchors(codes: np.ndarray, span: int) -> np.ndarray:
-    """The anchor's hash of each window of ``span`` bytes."""
+def anchors(codes: np.ndarray, span: int, bits: int) -> np.ndarray:
+    """The anchor's hash of each window of ``span`` bytes. A least hash has many leading zeros, so it is mixed again
+    before its leading bits choose a bucket. SPARE bits beyond the bucket's are kept: anchors that then collide
+    only look shared, and their passages are compared in full."""
     k = span - REACH + 1
     grown, size = codes.astype(np.uint64) + np.uint64(1), 1
     out, done, rest = None, 0, k
@@ -71,17 +75,22 @@ def anchors(codes: np.ndarray, span: int) -> np.ndarray:
     while width * 2 <= REACH:
         low = np.minimum(low[:-width], low[width:])
         width *= 2
-    return np.minimum(low[:n], low[REACH - width : REACH - width + n])
+    low = mixed(np.minimum(low[:n], low[REACH - width : REACH - width + n]), 51)
+    return low >> _dropped(bits) << _dropped(bits)
+
+
+def _dropped(bits: int) -> np.uint64:
+    return np.uint64(max(0, 64 - bits - SPARE))
 
 
 class Chunk:
     """A chunk's texts and the anchors of all their windows."""
 
-    def __init__(self, payload: bytes, span: int):
+    def __init__(self, payload: bytes, span: int, bits: int):
         self.table = opened(payload)
         self.ids = [LAST_ID if i is None else i for i in self.table.column("doc_id").to_pylist()]
         self.texts = [(t or "").encode() for t in self.table.column("text").to_pylist()]
-        lows = [anchors(np.frombuffer(t, np.uint8), span) if len(t) >= span else np.zeros(0, np.uint64) for t in self.texts]
+        lows = [anchors(np.frombuffer(t, np.uint8), span, bits) if len(t) >= span else np.zeros(0, np.uint64) for t in self.texts]
         self.low = np.concatenate([*lows, np.zeros(0, np.uint64)])
         n = np.array([len(x) for x in lows], np.int64)
         self.doc = np.repeat(np.arange(len(lows), dtype=np.int32), n)
@@ -107,8 +116,8 @@ _BACK = pa.schema([("chunk", pa.int64()), ("bucket", pa.int64()), ("payload", pa
 def _send_anchors(batches, span: int, bits: int):
     for batch in batches:
         for chunk, payload in zip(batch.column("chunk").to_pylist(), batch.column("payload").to_pylist()):
-            keys, several = Chunk(payload, span).distinct()
-            rows = [(b, chunk, pack_sorted(keys[i:j]), np.packbits(several[i:j]).tobytes()) for b, i, j in by_bucket(keys, bits)]
+            keys, several = Chunk(payload, span, bits).distinct()
+            rows = [(b, chunk, pack_sorted(keys[i:j] >> _dropped(bits)), np.packbits(several[i:j]).tobytes()) for b, i, j in by_bucket(keys, bits)]
             yield from arrow_rows(rows, _ANCHORS).to_batches()
 
 
@@ -195,7 +204,7 @@ def _send_passages(table: pa.Table, span: int, bits: int) -> pa.Table:
     """From a chunk and the answers to its anchors: its passages by bucket."""
     own, shared, _ = _ordered(table)
     number = table.column("chunk")[0].as_py()
-    found = Passages(Chunk(own[0], span), shared, span, bits)
+    found = Passages(Chunk(own[0], span, bits), shared, span, bits)
     out = []
     for b, i, j in by_bucket(found.low, bits) if found.any else []:
         parts = (found.low[i:j].astype("<u8"), found.least[i:j].astype("<i8"), found.windows[i:j].astype("u1"), found.lanes[i:j])
@@ -321,7 +330,7 @@ def _answer(table: pa.Table, span: int) -> pa.Table:
 def _removed(table: pa.Table, span: int, bits: int, schema: pa.Schema) -> pa.Table:
     """From a chunk and the answers to its anchors and passages: its rows with the bytes removed."""
     own, shared, answers = _ordered(table)
-    chunk = Chunk(own[0], span)
+    chunk = Chunk(own[0], span, bits)
     docs, texts = chunk.table, chunk.texts
     ends = np.cumsum([0, *map(len, texts)])
     gone = np.zeros(int(ends[-1]), bool)
