@@ -3,7 +3,8 @@
 Texts are normalised (A-Z lower-cased, nothing else) and range-partitioned by sampled splitters on their
 first bytes, a hash and the identifier; within a partition Spark's external sort places equal texts next
 to each other, and neighbours are compared in full. The identifier is part of the splitters, so a group of
-copies may span partitions: each partition tells of its runs, and runs of equal content are then joined.
+copies may span partitions: each partition tells of its runs in rows of at most RUN_ROWS or so identifiers,
+and a summary of each group's runs is joined back to them.
 
 Defined results: a null text counts as empty, so null and empty texts are equal. A null identifier is
 smaller than any other. Repeated rows are members of their group one by one; of repeated rows of the
@@ -16,7 +17,7 @@ import hashlib
 import string
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 LOWER = bytes.maketrans(string.ascii_uppercase.encode(), string.ascii_lowercase.encode())
@@ -70,11 +71,10 @@ def exact_dedup(docs: DataFrame, keep: str = "smallest") -> DataFrame:
     content = content.withColumns({"head": F.substring("content", 1, SPLITTER_BYTES), "mixed": F.xxhash64("content")})
     ordered = content.repartitionByRange("head", "mixed", "doc_id").sortWithinPartitions("head", "mixed", "content", "doc_id")
     runs = ordered.mapInArrow(_runs, "text_sha256 string, ids array<long>, hashes array<long>, first long, last long, n long")
-    same = Window.partitionBy("text_sha256")
-    # Spark's min() passes over nulls, which come first in a run.
-    lowest = F.when(F.max(F.col("first").isNull()).over(same), F.lit(None)).otherwise(F.min("first").over(same))
-    kept_id = F.max("last").over(same) if keep == "largest" else lowest
-    joined = runs.withColumns({"keep_id": kept_id, "group_size": F.sum("n").over(same)})
+    # A summary of each group's runs is joined back to them: no task holds a whole group. Spark's min() passes over nulls.
+    lowest = F.when(F.max(F.col("first").isNull()), F.lit(None)).otherwise(F.min("first"))
+    groups = runs.groupBy("text_sha256").agg((F.max("last") if keep == "largest" else lowest).alias("keep_id"), F.sum("n").alias("group_size"))
+    joined = runs.join(groups, "text_sha256")
     each = joined.select("*", F.posexplode(F.arrays_zip("ids", "hashes")).alias("place", "row"))
     edge, at = ("last", F.col("n") - 1) if keep == "largest" else ("first", F.lit(0))
     return each.select(
