@@ -1,15 +1,21 @@
-"""Stupid-backoff language-model scores.
+"""Stupid-backoff language-model scores, relationally.
 
-Counts of words and word pairs are gathered from all documents. A pair seen at least MIN_COUNT times scores
-its count over that of its first word; else the score backs off to ALPHA times the word's share of all
-words, which is also the score (without ALPHA) of a document's first word. A document's score is the sum of
+Counts of words and word pairs are gathered from all documents. A pair seen at least ``min_count`` times scores
+its count over that of its first word; else the score backs off to ``alpha`` times the word's share of all
+words, which is also the score (without ``alpha``) of a document's first word. A document's score is the sum of
 the logarithms, and their mean.
 
-The n-gram count tables are partitioned by hash: each chunk of documents explodes its n-grams, counts the
-distinct ones, and sends them to the buckets of their hashes; a bucket adds up the counts and answers each
-chunk, where they are joined to the exploded n-grams and summed per document.
+Two count tables are built by grouping exploded n-grams, with Spark's partial counts before the shuffle: words and
+pairs, both partitioned by hash. Every word scores as backed off at first, so a document's sum is that of its words;
+a pair that is frequent enough has a gain over that, which depends only on the pair. So the table of frequent
+pairs with their gains, which holds none of the many pairs seen once, is joined to the exploded pairs of the
+documents, and the table of word counts to their exploded distinct words; both are summed per document. Keys that
+very many documents hold are split by Spark's adaptive skew joins; sums are partial before the last shuffle.
 
-Words are runs of characters other than space and 0x09-0x0D, with A-Z lower-cased.
+Counts are kept by the words themselves. Only the last join, of frequent pairs with the pairs of documents, is by the
+64-bit xxhash of the two words, which halves its shuffle: with 10^12 frequent pairs, one pair in 10^7 would
+take another's gain. Words are runs of characters other than space and
+0x09-0x0D, with A-Z lower-cased.
 
 Defined results: a null text or one without words has n_tokens 0, log_score 0 and a null mean. Repeated
 rows count and are scored each. An empty table gives an empty result. Other columns play no part.
@@ -17,95 +23,44 @@ rows count and are scored each. An empty table gives an empty result. Other colu
 
 from __future__ import annotations
 
-from functools import partial
+import string
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helmtrack.llm.chunks import arrow_rows, bucket_bits, by_bucket, chunked, opened
-from helmtrack.llm.common import pack, pack_sorted, unpack, unpack_sorted
-from helmtrack.llm.words import joined_hashes, mixed, word_hashes
+from helmtrack.llm.common import written
 
 ALPHA, MIN_COUNT = 0.4, 2
 
-_SENT = pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
-_BACK = pa.schema([("chunk", pa.int64()), ("bucket", pa.int64()), ("payload", pa.binary())])
-_OUT = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("log_score", pa.float64()), ("mean_log_score", pa.float64())])
 
+def _words():
+    lowered = F.translate(F.coalesce(F.col("text"), F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
+    return F.filter(F.split(lowered, r"[\x20\x09-\x0D]+"), lambda w: w != "")
 
-def _exploded(payload: bytes):
-    """Document ids, words per document, and of each word: its key, the key of the pair that it ends, and
-    whether it begins a document."""
-    table = opened(payload)
-    hashes, n = word_hashes(table.column("text").to_pylist())
-    begins = np.zeros(len(hashes), bool)
-    first = (np.cumsum(n) - n)[n > 0]
-    begins[first] = True
-    words = mixed(hashes, 1)
-    pairs = mixed(joined_hashes(hashes, 2), 2)
-    pairs = np.concatenate([np.zeros(1, np.uint64), pairs])[: len(hashes)] if len(hashes) else hashes
-    return table.column("doc_id").to_pylist(), n, words, pairs, begins
 
-
-def _sent(batches, bits: int):
-    for batch in batches:
-        for chunk, payload in zip(batch.column("chunk").to_pylist(), batch.column("payload").to_pylist()):
-            _, _, words, pairs, begins = _exploded(payload)
-            keys, counts = np.unique(np.concatenate([words, pairs[~begins]]), return_counts=True)
-            rows = [(b, chunk, pack_sorted(keys[i:j]), pack(counts[i:j].astype("<u4"))) for b, i, j in by_bucket(keys, bits)]
-            yield from arrow_rows(rows, _SENT).to_batches()
-
-
-def _counted(table: pa.Table) -> pa.Table:
-    """Adds up the counts of a bucket's keys over chunks and answers each chunk in the order it sent."""
-    chunk, bucket = table.column("chunk").to_pylist(), table.column("bucket").to_pylist()
-    keys = [unpack_sorted(k) for k in table.column("keys").to_pylist()]
-    counts = np.concatenate([unpack(c, "<u4") for c in table.column("counts").to_pylist()]).astype(np.int64)
-    _, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-    totals = np.bincount(inverse, counts).astype("<i8")[inverse]
-    ends = np.cumsum([len(k) for k in keys])
-    return arrow_rows([(c, b, pack(totals[e - len(k) : e])) for c, b, k, e in zip(chunk, bucket, keys, ends)], _BACK)
-
-
-def _scored(table: pa.Table, total: int, alpha: float, least: int) -> pa.Table:
-    rows = sorted(zip(table.column("bucket").to_pylist(), table.column("payload").to_pylist()), key=lambda r: r[0])
-    ids, n, words, pairs, begins = _exploded(rows[0][1])
-    if len(words):
-        keys = np.unique(np.concatenate([words, pairs[~begins]]))
-        counts = np.concatenate([unpack(p, "<i8") for _, p in rows[1:]])
-        of = lambda k: counts[np.searchsorted(keys, k)].astype(float)
-        single = of(words)
-        share = single / total
-        before = np.append(1.0, single[:-1])
-        pair = np.where(begins, 0.0, 1.0)
-        pair[~begins] = of(pairs[~begins])
-        log = np.log(np.where(begins, share, np.where(pair >= least, pair / before, alpha * share)))
-        sums = np.append(0.0, np.cumsum(log))
-        ends = np.cumsum(n)
-        score = sums[ends] - sums[ends - n]
-    else:
-        score = np.zeros(len(ids))
-    mean = [s / m if m else None for s, m in zip(score.tolist(), n.tolist())]
-    return pa.Table.from_arrays([pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(score), pa.array(mean, pa.float64())], schema=_OUT)
+def _pairs():
+    after = F.slice("words", 2, F.greatest(F.size("words") - 1, F.lit(0)))
+    before = F.slice("words", 1, F.greatest(F.size("words") - 1, F.lit(0)))
+    return F.arrays_zip(before.alias("h"), after.alias("w"))
 
 
 def lm_scores(docs: DataFrame, alpha: float = ALPHA, min_count: int = MIN_COUNT) -> DataFrame:
     """Per row of ``docs``: doc_id, n_tokens, log_score, mean_log_score."""
-    chunks = chunked(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
-    bits = bucket_bits(chunks)
-    sent = chunks.mapInArrow(partial(_sent, bits=bits), "bucket long, chunk long, keys binary, counts binary")
-    counted = sent.groupBy("bucket").applyInArrow(_counted, "chunk long, bucket long, payload binary")
-    total = chunks.mapInArrow(_words, "n long").agg(F.sum("n")).first()[0] or 0
-    both = chunks.select("chunk", F.lit(-1).cast("long").alias("bucket"), "payload").unionByName(counted)
-    return both.groupBy("chunk").applyInArrow(
-        lambda table: _scored(table, total, alpha, min_count), "doc_id long, n_tokens long, log_score double, mean_log_score double"
-    )
-
-
-def _words(batches):
-    from helmtrack.llm.words import count_words
-
-    for batch in batches:
-        yield pa.RecordBatch.from_arrays([pa.array([count_words(opened(p).column("text").to_pylist()) for p in batch.column("payload").to_pylist()])], names=["n"])
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), _words().alias("words"))
+    each_word = rows.select("row", "doc_id", F.posexplode_outer("words").alias("at", "w"))
+    words = written(each_word.where("w IS NOT NULL").groupBy("w").agg(F.count("*").alias("n")), "word-counts")
+    total = words.agg(F.sum("n")).first()[0] or 0
+    each_pair = rows.select("row", F.explode(_pairs()).alias("p")).select("row", F.col("p.h").alias("h"), F.col("p.w").alias("w"))
+    pair = F.xxhash64("h", "w")
+    seen = each_pair.groupBy(F.concat_ws(" ", "h", "w").alias("both")).agg(F.count("*").alias("n"))
+    parts = F.split("both", " ")
+    frequent = written(seen.where(F.col("n") >= min_count).select(parts[0].alias("h"), parts[1].alias("w"), "n"), "frequent-pairs")
+    first, second = (words.select(F.col("w").alias(c), F.col("n").alias(f"n_{c}")) for c in "hw")
+    gain = F.log(F.col("n").cast("double") / F.col("n_h")) - F.log(alpha * F.col("n_w").cast("double") / total)
+    gains = written(frequent.join(first, "h").join(second, "w").select(pair.alias("pair"), gain.alias("gain")), "pair-gains")
+    backed_off = F.log(F.when(F.col("at") == 0, 1.0).otherwise(alpha) * F.col("n") / total)
+    by_word = each_word.join(words, "w", "left").groupBy("row", "doc_id").agg(F.count("w").alias("n_tokens"), F.sum(backed_off).alias("score"))
+    by_pair = each_pair.select("row", pair.alias("pair")).join(gains, "pair").groupBy("row").agg(F.sum("gain").alias("score"))
+    both = by_word.unionByName(by_pair.select("row", F.lit(None).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("n_tokens"), "score"))
+    scored = both.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.sum("n_tokens").alias("n_tokens"), F.coalesce(F.sum("score"), F.lit(0.0)).alias("log_score"))
+    return scored.select("doc_id", "n_tokens", "log_score", F.when(F.col("n_tokens") > 0, F.col("log_score") / F.col("n_tokens")).alias("mean_log_score"))
