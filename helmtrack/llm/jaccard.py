@@ -9,7 +9,7 @@
    many documents hold come last in the order and don't bring strangers together.
 3. A tile is compared in rounds, never with all its pairs as rows. First, its members meet one pivot; the pairs are
    made distinct over all tiles. Tiles whose members are then connected are done. The others take some PIVOTS new
-   pivots a round, among the members that may be the smaller one, until all are connected or each was a pivot.
+   pivots a round, among the members outside the tile's largest component, until what is left is connected.
    Members are dealt to blocks of BLOCK, to which the pivots are sent. In a block, hashed bitmaps bound the overlap
    of a pair from above by bit counts, and what passes is decided by intersecting the sorted arrays. A pair
    that is connected already isn't compared. So the links found connect just what all links would connect.
@@ -37,7 +37,7 @@ from helmtrack.llm.components import components
 from helmtrack.llm.words import joined_hashes, mixed, word_hashes
 
 #: Members of a block of comparisons, and pivots that a tile takes in a round after the first.
-BLOCK, PIVOTS = 256, 64
+BLOCK, PIVOTS = 1024, 1024
 #: Bits of a shingle's hash beyond the logarithm of their number, for counting; a chance collision only
 #: makes a shingle seem more common than it is.
 SPARE_BITS = 8
@@ -227,30 +227,32 @@ def _labels(entries: DataFrame, bodies: DataFrame, k: int, threshold: Threshold)
     """(node, label) of all nodes that are linked. ``entries``: tile, node, smaller."""
     tiles = entries.groupBy("tile").agg(F.min(F.when(F.col("smaller"), F.col("node"))).alias("pivot"), F.min("node").alias("least"), F.max("node").alias("most"))
     tiles = tiles.where("least <> most AND pivot IS NOT NULL").select("tile", "pivot")
-    entries = written(entries.join(tiles, "tile").groupBy("tile", "node", "pivot").agg(F.max("smaller").alias("smaller")), "tile-entries")
+    entries = written(entries.join(tiles, "tile").select("tile", "node", "pivot").distinct(), "tile-entries")
     pairs = entries.where("node <> pivot").select("pivot", "node").distinct()
     sizes = pairs.groupBy("pivot").agg(F.count("*").alias("n")).select("pivot", F.xxhash64("pivot").alias("meeting"), _blocks("n"))
     guests = pairs.join(sizes, "pivot").select("meeting", "node", F.col("node").alias("label"), "blocks")
     links = written(_compared(guests, sizes.select("meeting", F.col("pivot").alias("node"), F.col("pivot").alias("label"), "blocks"), bodies, k, threshold), "links")
     labels = components(links)
-    open_ = entries.where("node <> pivot").select("tile", "node", "smaller")
+    open_ = entries.where("node <> pivot").select("tile", "node")
     turn = 1
     while True:
         turn += 1
-        known = open_.join(labels, "node", "left").select("tile", "node", "smaller", F.coalesce("label", "node").alias("label"))
-        tiles = known.groupBy("tile").agg(
-            F.count("*").alias("n"), F.count_if("smaller").alias("left"), F.min("label").alias("low"), F.max("label").alias("high"), F.sum(F.xxhash64("node", "smaller").cast("decimal(38,0)")).alias("digest")
-        )
-        tiles = tiles.where("low <> high AND left > 0").groupBy("n", "left", "digest").agg(F.min("tile").alias("tile"))  # equal tiles: one
-        known = written(known.join(tiles.select("tile", "left", _blocks("n")), "tile"), "open-tiles")
+        known = open_.join(labels, "node", "left").select("tile", "node", F.coalesce("label", "node").alias("label"))
+        digest = F.sum(F.xxhash64("node").cast("decimal(38,0)"))
+        sizes = known.groupBy("tile", "label").agg(F.count("*").alias("n"), digest.alias("digest"))
+        tiles = sizes.groupBy("tile").agg(F.max_by("label", F.struct("n", "label")).alias("most"), F.sum("n").alias("n"), F.max("n").alias("of_most"), F.sum("digest").alias("digest"))
+        tiles = tiles.where("n > of_most").groupBy("n", "digest").agg(F.min(F.struct("tile", "most", "of_most")).alias("one"))  # equal tiles: one
+        tiles = tiles.select("one.tile", "one.most", (F.col("n") - F.col("one.of_most")).alias("left"), _blocks("n"))
+        known = written(known.join(tiles, "tile"), "open-tiles")
         if known.isEmpty():
             return labels
-        chosen = F.col("smaller") & (F.pmod(F.xxhash64("node", F.lit(turn)), F.ceil(F.col("left") / PIVOTS)) == 0)
+        chosen = (F.col("label") != F.col("most")) & (F.pmod(F.xxhash64("node", F.lit(turn)), F.ceil(F.col("left") / PIVOTS)) == 0)
         meeting = known.select(F.col("tile").alias("meeting"), "node", "label", "blocks", chosen.alias("chosen"))
-        more = _compared(meeting.drop("chosen"), meeting.where("chosen").drop("chosen"), bodies, k, threshold)
-        links = written(links.union(more), "links")
-        labels = components(links)
-        open_ = known.where(~chosen).select("tile", "node", "smaller")
+        more = written(_compared(meeting.drop("chosen"), meeting.where("chosen").drop("chosen"), bodies, k, threshold), "links")
+        if not more.isEmpty():
+            links = links.union(more)
+            labels = components(links)
+        open_ = known.where(~chosen).select("tile", "node")
 
 
 def _row_hash():

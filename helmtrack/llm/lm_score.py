@@ -23,12 +23,13 @@ rows count and are scored each. An empty table gives an empty result. Other colu
 
 from __future__ import annotations
 
+import math
 import string
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helmtrack.llm.common import written
+from helmtrack.llm.common import discard, written
 
 ALPHA, MIN_COUNT = 0.4, 2
 
@@ -47,20 +48,22 @@ def _pairs():
 def lm_scores(docs: DataFrame, alpha: float = ALPHA, min_count: int = MIN_COUNT) -> DataFrame:
     """Per row of ``docs``: doc_id, n_tokens, log_score, mean_log_score."""
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), _words().alias("words"))
-    each_word = rows.select("row", "doc_id", F.posexplode_outer("words").alias("at", "w"))
-    words = written(each_word.where("w IS NOT NULL").groupBy("w").agg(F.count("*").alias("n")), "word-counts")
+    rows = written(rows, "word-arrays")
+    each_word = rows.select("row", F.explode("words").alias("w"))
+    words = written(each_word.groupBy("w").agg(F.count("*").alias("n")), "word-counts")
     total = words.agg(F.sum("n")).first()[0] or 0
     each_pair = rows.select("row", F.explode(_pairs()).alias("p")).select("row", F.col("p.h").alias("h"), F.col("p.w").alias("w"))
-    pair = F.xxhash64("h", "w")
     seen = each_pair.groupBy(F.concat_ws(" ", "h", "w").alias("both")).agg(F.count("*").alias("n"))
     parts = F.split("both", " ")
     frequent = written(seen.where(F.col("n") >= min_count).select(parts[0].alias("h"), parts[1].alias("w"), "n"), "frequent-pairs")
     first, second = (words.select(F.col("w").alias(c), F.col("n").alias(f"n_{c}")) for c in "hw")
-    gain = F.log(F.col("n").cast("double") / F.col("n_h")) - F.log(alpha * F.col("n_w").cast("double") / total)
-    gains = written(frequent.join(first, "h").join(second, "w").select(pair.alias("pair"), gain.alias("gain")), "pair-gains")
-    backed_off = F.log(F.when(F.col("at") == 0, 1.0).otherwise(alpha) * F.col("n") / total)
-    by_word = each_word.join(words, "w", "left").groupBy("row", "doc_id").agg(F.count("w").alias("n_tokens"), F.sum(backed_off).alias("score"))
-    by_pair = each_pair.select("row", pair.alias("pair")).join(gains, "pair").groupBy("row").agg(F.sum("gain").alias("score"))
-    both = by_word.unionByName(by_pair.select("row", F.lit(None).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("n_tokens"), "score"))
-    scored = both.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.sum("n_tokens").alias("n_tokens"), F.coalesce(F.sum("score"), F.lit(0.0)).alias("log_score"))
-    return scored.select("doc_id", "n_tokens", "log_score", F.when(F.col("n_tokens") > 0, F.col("log_score") / F.col("n_tokens")).alias("mean_log_score"))
+    pair, backed_off = F.xxhash64("h", "w").alias("pair"), lambda n: F.log(alpha * F.col(n) / total)
+    gain = F.log(F.col("n") / F.col("n_h")) - backed_off("n_w")
+    gains = written(frequent.join(first, "h").join(second, "w").select(pair, gain.alias("gain")), "pair-gains")
+    discard(frequent)
+    gained = written(each_pair.select("row", pair).join(gains, "pair").groupBy("row").agg(F.sum("gain").alias("gain")), "gains")
+    discard(gains)
+    base = written(each_word.join(words, "w").groupBy("row").agg(F.sum(backed_off("n")).alias("base")), "backed-off")
+    scored = rows.select("row", "doc_id", F.size("words").cast("long").alias("n_tokens")).join(base, "row", "left").join(gained, "row", "left")
+    score = F.coalesce(F.col("base") - math.log(alpha) + F.coalesce("gain", F.lit(0.0)), F.lit(0.0))  # a first word isn't backed off
+    return scored.select("doc_id", "n_tokens", score.alias("log_score"), F.when(F.col("n_tokens") > 0, score / F.col("n_tokens")).alias("mean_log_score"))

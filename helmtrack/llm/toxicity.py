@@ -1,32 +1,35 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
-Two bigram models, one of toxic and one of ordinary texts, are learned from a bounded sample of labelled
-rows. A bigram's class count, less a discount, is interpolated with the class's continuation count of the
-word (in how many histories it occurs), and that, less a discount, with continuation counts that both
-classes share. A word that is rare in both classes thus has nearly the same likelihood in both: the large
-discounts keep chance words from counting as evidence.
-
-The logarithm of the likelihood ratio is averaged over windows of a few words, so it is normalised by
-length and a short toxic passage in a long text counts as much as in a short one. A logistic curve, fitted
-on labelled rows that the counts did not see, turns a text's highest window and its mean into a score.
+Two models, one of toxic and one of ordinary texts, are learned from a bounded sample of labelled rows. A word counts as
+often as it has different histories (words before it) in a class: Kneser-Ney's continuation count. From that
+a discount is taken, and what the discounts free goes to a backoff that both classes share: in how many histories
+a word has been seen in either class. A word that is rare in both classes thus has nearly the same likelihood
+in both. The discounts are those of modified Kneser-Ney: D1, D2 and D3+ for counts of 1, 2 and more, at most 1, 2 and 3.
+D1 is 1: a word seen once in a class tells nothing of it. D2 and D3+ are found by deleted estimation: of words that
+one half of a class's texts has and the other class's half has not, what the other halves don't confirm. The layer of
+word pairs is left out: with D1 to D3+ it only added chance pairs.
+
+A text is compared by its length-normalised log-likelihood ratio: the mean per word of the whole text, of its best
+window of a few words, and of its best word, so that a short toxic passage in a long text counts as much as in
+a short one. A logistic curve turns the three into a score. It is fitted on all sampled rows, each measured by a model
+that has not seen the row's fold.
 
 Bounds of the fit: TRAIN_ROWS labelled rows, chosen by a hash of the identifier, and of them as many as
 hold TRAIN_BYTES bytes of text. Scoring covers all rows and whole texts.
 
 Defined results: a null or empty text has no words and gets the curve's value for ratio 0. Of several
-labels of one identifier the largest counts; rows with a null label or identifier teach nothing. Without
-labels of both classes every score is 0. With fewer than 5 rows of a class in the curve's fold (some 25 labels
-of it) no curve is fitted and no discount chosen: the curve is then (-7, 10, 0) and the discount the first. Repeated rows are scored each; of equal texts in the sample one
-teaches. Other columns play no part.
+labels of one identifier the largest counts, and of several labels of equal texts; rows with a null label or identifier
+teach nothing. Without labels of both classes every score is 0. Repeated rows are scored each; of equal texts in
+the sample one teaches. Other columns play no part.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
 from functools import partial
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,12 +37,10 @@ from pyspark.sql import functions as F
 from helmtrack.llm.common import written
 
 TRAIN_ROWS, TRAIN_BYTES = 24_000, 96_000_000
-#: Discount of bigram counts; and those of continuation counts, of which the curve's rows choose one.
-BIGRAM_DISCOUNT, WORD_DISCOUNTS = 50.0, (2.0, 3.0, 5.0, 8.0, 12.0, 20.0)
 #: Words in a window.
 WINDOW = 3
-#: One labelled row in so many is kept for the logistic curve.
-CURVE_FOLD = 5
+#: Folds of the sample; an even number, as their parity makes the halves of the deleted estimation.
+FOLDS = 6
 
 _WORDS = re.compile(r"[^\W_]+")
 
@@ -49,75 +50,93 @@ def words(text: str | None) -> list[str]:
 
 
 def _pairs(batches):
+    """Distinct (history, word) pairs of a batch with a bit for each class and fold that has them."""
     for batch in batches:
-        counts: Counter = Counter()
-        for toxic, text in zip(batch.column("toxic").to_pylist(), batch.column("text").to_pylist()):
+        seen: dict = {}
+        for toxic, fold, text in zip(*(batch.column(c).to_pylist() for c in ("toxic", "fold", "text"))):
             w = words(text)
-            counts.update(zip([toxic] * len(w), ["", *w], w))
-        rows = [(t, h, w, n) for (t, h, w), n in counts.items()]
-        columns = [pa.array(list(c), t) for c, t in zip(zip(*rows) if rows else [[]] * 4, (pa.int32(), pa.string(), pa.string(), pa.int64()))]
-        yield pa.RecordBatch.from_arrays(columns, names=["toxic", "history", "word", "n"])
+            bit = 1 << (fold + FOLDS * (toxic == 1))
+            for pair in zip(["", *w], w):
+                seen[pair] = seen.get(pair, 0) | bit
+        columns = [pa.array([p[i] for p in seen], pa.string()) for i in (0, 1)]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(list(seen.values()), pa.int32())], names=["history", "word", "cells"])
+
+
+def _held(cells: int):
+    """In how many histories a word has been seen in any of the cells."""
+    return F.count_if(F.col("cells").bitwiseAND(F.lit(cells)) != 0)
+
+
+def _cells(toxic: int, folds) -> int:
+    return sum(1 << (f + FOLDS * toxic) for f in folds)
+
+
+#: The folds that a model has seen: all but one for the curve, and all.
+SEEN = [[f for f in range(FOLDS) if f != out] for out in range(FOLDS)] + [list(range(FOLDS))]
 
 
 class Ratio:
-    """Log-likelihood ratios of words after their history; tables are bounded by the sample."""
-
-    def __init__(self, vocabulary: list, histories: list, bigrams: list, totals: dict, discount: float):
-        toxic_sum, plain_sum, shared_sum, toxic_cut, plain_cut = (float(totals[c] or 0) for c in ("t", "p", "s", f"t{discount:g}", f"p{discount:g}"))
-        self.ids = {w: i + 1 for i, w in enumerate(sorted({r[0] for r in vocabulary} | {r[0] for r in histories}))}
-        size = len(self.ids) + 1
-        class_count = np.zeros((2, size))
-        shared = np.full(size, 1.0)
-        for w, t, p, s in vocabulary:
-            i = self.ids[w]
-            class_count[:, i], shared[i] = (t, p), s
-        base = shared / max(shared_sum, 1.0)
-        sums = np.maximum([[toxic_sum], [plain_sum]], 1.0)
-        backoff = np.array([[toxic_cut], [plain_cut]]) / sums
-        self.word = np.maximum(class_count - discount, 0) / sums + backoff * base
-        self.history = np.zeros((2, size))
-        self.weight = np.ones((2, size))
-        for h, t, p, t_cut, p_cut in histories:
-            i = self.ids[h]
-            self.history[:, i] = t, p
-            self.weight[:, i] = (t_cut / t if t else 1.0), (p_cut / p if p else 1.0)
-        self.size = size
-        known = sorted((self.ids[h] * size + self.ids[w], t, p) for h, w, t, p in bigrams if h in self.ids and w in self.ids)
-        self.keys = np.array([k[0] for k in known], np.int64)
-        self.pair = np.maximum(np.array([k[1:] for k in known], float).reshape(-1, 2).T - BIGRAM_DISCOUNT, 0)
-
-    def __call__(self, text: str | None) -> np.ndarray:
-        found = words(text)
+    """Log-likelihood ratios of words, one model for each entry of SEEN; tables are bounded by the sample."""
+
+    def __init__(self, vocabulary: pd.DataFrame, totals: dict):
+        self.ids = {w: i + 1 for i, w in enumerate(vocabulary["word"])}
+        cuts = [[0.0, 1.0, *self.estimated(totals, y)] for y in (0, 1)]
+        self.ratio = np.zeros((len(SEEN), len(vocabulary) + 1))
+        for m in range(len(SEEN)):
+            shared = vocabulary[f"s{m}"].to_numpy(float) / max(totals[f"s{m}"], 1)
+            side = []
+            for y in (0, 1):
+                n, sure = max(totals[f"c{y}_{m}"], 1), vocabulary[f"c{y}_{m}"].to_numpy()
+                backoff = sum(cuts[y][i] * totals[f"n{y}_{m}_{i}"] for i in (1, 2, 3)) / n or 1.0
+                side.append(np.maximum(sure - np.array(cuts[y])[np.minimum(sure, 3)], 0) / n / backoff + shared)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                self.ratio[m, 1:] = np.where(shared > 0, np.log(side[1] / side[0]), 0)  # an unknown word's ratio is 0
+
+    @staticmethod
+    def estimated(totals: dict, y: int) -> tuple[float, float]:
+        """D2 and D3+ of class y."""
+        found = 1.0, *(
+            min(float(i), (totals[f"tot{y}_{i}"] - totals[f"own{y}_{i}"] + totals[f"other{y}_{i}"]) / totals[f"den{y}_{i}"]) if totals[f"den{y}_{i}"] else float(i) for i in (2, 3)
+        )
+        return max(found[0], found[1]), max(found)
+
+    def features(self, text: str | None, model: int = -1) -> tuple[float, float, float]:
+        """The best word, the best window and the mean of the text, per word."""
         get = self.ids.get
-        ids = np.fromiter((get(w, 0) for w in found), np.int64, len(found))
-        before = np.append(get("", 0), ids[:-1]) if len(ids) else ids
-        likelihood = self.weight[:, before] * self.word[:, ids]
-        if len(self.keys) and len(ids):
-            key = before * self.size + ids
-            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            hit = np.flatnonzero(self.keys[at] == key)
-            likelihood[:, hit] += self.pair[:, at[hit]] / np.maximum(self.history[:, before[hit]], 1.0)
-        return np.log(likelihood[0] / likelihood[1])
-
-    def features(self, text: str | None) -> tuple[float, float]:
-        """The highest window and the mean of the text, both per word."""
-        ratio = self(text)
-        if not len(ratio):
-            return 0.0, 0.0
+        found = words(text)
+        if not found:
+            return 0.0, 0.0, 0.0
+        ratio = self.ratio[model, np.fromiter((get(w, 0) for w in found), np.int64, len(found))]
         mean = float(ratio.mean())
         padded = np.concatenate([np.full(WINDOW - 1, mean), ratio, np.full(WINDOW - 1, mean)])
         sums = np.cumsum(np.append(0.0, padded))
-        return float((sums[WINDOW:] - sums[:-WINDOW]).max()) / WINDOW, mean
+        return float(ratio.max()), float((sums[WINDOW:] - sums[:-WINDOW]).max()) / WINDOW, mean
 
+    def last(self) -> Ratio:
+        """Only the model that has seen all folds."""
+        out = Ratio.__new__(Ratio)
+        used = np.flatnonzero(self.ratio[-1, 1:])
+        names = list(self.ids)
+        out.ids, out.ratio = {names[i]: n + 1 for n, i in enumerate(used)}, np.append(0.0, self.ratio[-1, 1:][used])[None]
+        return out
 
-def _featured(batches, model: Ratio, curve: np.ndarray):
+
+def _measured(batches, model: Ratio):
+    for batch in batches:
+        x = [model.features(t, f) for t, f in zip(batch.column("text").to_pylist(), batch.column("fold").to_pylist())]
+        columns = [pa.array([v[i] for v in x], pa.float64()) for i in range(3)]
+        yield pa.RecordBatch.from_arrays([batch.column("toxic"), *columns], names=["toxic", "x0", "x1", "x2"])
+
+
+def _scores(texts: list, model: Ratio, curve: np.ndarray) -> np.ndarray:
+    x = np.array([model.features(t) for t in texts]).reshape(-1, 3)
+    return 1 / (1 + np.exp(-np.clip(curve[0] + x @ curve[1:], -500, 500)))
+
+
+def _scored(batches, model: Ratio, curve: np.ndarray):
     for batch in batches:
-        x = np.array([model.features(t) for t in batch.column("text").to_pylist()]).reshape(-1, 2)
-        columns = [batch.column(i) for i in range(batch.num_columns - 1)]
-        z = curve[0] + x @ curve[1:]
-        score = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
-        names = batch.schema.names[:-1]
-        yield pa.RecordBatch.from_arrays([*columns, pa.array(score), pa.array(x[:, 0]), pa.array(x[:, 1])], names=[*names, "score", "peak", "mean"])
+        score = _scores(batch.column("text").to_pylist(), model, curve)
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score)], names=["doc_id", "score"])
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
@@ -140,41 +159,52 @@ def remainder(column: str, n: int):
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(n))
 
 
+def _totals(by_word: DataFrame) -> dict:
+    """Sums over all words, one row: counts, numbers of words by count, and what the discounts are estimated from."""
+    sums = {f"s{m}": F.sum(f"s{m}") for m in range(len(SEEN))}
+    for y in (0, 1):
+        for m in range(len(SEEN)):
+            c = F.col(f"c{y}_{m}")
+            sums |= {f"c{y}_{m}": F.sum(c), f"n{y}_{m}_1": F.count_if(c == 1), f"n{y}_{m}_2": F.count_if(c == 2), f"n{y}_{m}_3": F.count_if(c >= 3)}
+    size = by_word.agg(*[F.sum(f"h{y}_{a}").alias(f"h{y}_{a}") for y in (0, 1) for a in (0, 1)]).first().asDict()
+    for y in (0, 1):
+        for i in (2, 3):
+            parts = {"den": 0, "tot": 0, "own": 0, "other": 0}
+            for a, b in ((0, 1), (1, 0)):
+                mine, beside = F.col(f"h{y}_{a}"), F.col(f"h{1 - y}_{a}")
+                if_ = lambda v, m=mine, o=beside, i=i: F.coalesce(F.sum(F.when((o == 0) & ((m == i) if i < 3 else (m >= i)), v)), F.lit(0))
+                scale = lambda z, b=b, y=y, a=a: (size[f"h{y}_{a}"] or 0) / max(size[f"h{z}_{b}"] or 0, 1)
+                parts["den"] += if_(F.lit(1))
+                parts["tot"] += if_(mine)
+                parts["own"] += if_(F.col(f"h{y}_{b}") * scale(y))
+                parts["other"] += if_(F.col(f"h{1 - y}_{b}") * scale(1 - y))
+            sums |= {f"{name}{y}_{i}": part for name, part in parts.items()}
+    return {k: v or 0 for k, v in by_word.agg(*[v.alias(k) for k, v in sums.items()]).first().asDict().items()}
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[Ratio, np.ndarray] | None:
     """The ratio model and the curve; None without labels of both classes. ``labels``: doc_id, toxic."""
     marked = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy(F.col("doc_id").alias("id")).agg(F.max("toxic").cast("int").alias("toxic"))
     chosen = marked.withColumn("h", F.xxhash64("id")).orderBy("h", "id").limit(TRAIN_ROWS)
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("id"))
-    texts = written(texts.select("doc_id", "text", "toxic", "h").dropDuplicates(["text"]), "toxic-sample")
-    kept = texts.select("doc_id", "h", F.octet_length("text").alias("bytes"))  # at most TRAIN_ROWS rows
-    kept = kept.withColumn("sum", F.sum("bytes").over(Window.orderBy("h", "doc_id"))).where(F.col("sum") <= TRAIN_BYTES)
-    sample = texts.join(F.broadcast(kept.select("h").distinct()), "h", "left_semi").withColumn("curve", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(CURVE_FOLD)) == 0)
-    pairs = sample.where("NOT curve").select("toxic", "text").mapInArrow(_pairs, "toxic int, history string, word string, n long")
-    counted = written(pairs.groupBy("history", "word").agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("t"), F.sum(F.when(F.col("toxic") == 1, 0).otherwise(F.col("n"))).alias("p")), "toxic-pairs")
-    by_word = counted.groupBy("word").agg(F.count_if(F.col("t") > 0).alias("t"), F.count_if(F.col("p") > 0).alias("p"), F.count("*").alias("s"))
-    least = lambda c, d: F.least(F.col(c).cast("double"), F.lit(d))
-    cuts = [F.sum(least(c, d)).alias(f"{c}{d:g}") for c in "tp" for d in WORD_DISCOUNTS]
-    totals = by_word.agg(*[F.sum(c).alias(c) for c in "tps"], *cuts).first().asDict()
-    if not totals["t"] or not totals["p"]:
+    texts = written(texts.groupBy("text").agg(F.max("toxic").alias("toxic"), F.min(F.struct("h", "id")).alias("first")), "toxic-sample")
+    sizes = texts.select("first", F.octet_length("text").alias("bytes")).orderBy("first").limit(TRAIN_ROWS)
+    sizes = sizes.withColumn("sum", F.sum("bytes").over(Window.orderBy("first"))).where(F.coalesce("sum", F.lit(0)) <= TRAIN_BYTES)
+    sample = texts.join(F.broadcast(sizes.select("first").distinct()), "first", "left_semi").withColumn("fold", F.pmod(F.xxhash64("first.id", F.lit(1)), F.lit(FOLDS)).cast("int"))
+    pairs = sample.select("toxic", "fold", "text").mapInArrow(_pairs, "history string, word string, cells int")
+    pairs = pairs.groupBy("history", "word").agg(F.bit_or("cells").alias("cells"))
+    columns = {f"s{m}": _held(_cells(0, seen) | _cells(1, seen)) for m, seen in enumerate(SEEN)}
+    columns |= {f"c{y}_{m}": _held(_cells(y, seen)) for y in (0, 1) for m, seen in enumerate(SEEN)}
+    columns |= {f"h{y}_{a}": _held(_cells(y, range(a, FOLDS, 2))) for y in (0, 1) for a in (0, 1)}
+    by_word = written(pairs.groupBy("word").agg(*[v.cast("int").alias(k) for k, v in columns.items()]), "toxic-words")
+    totals = _totals(by_word)
+    every = len(SEEN) - 1
+    if not totals[f"c0_{every}"] or not totals[f"c1_{every}"]:
         return None
-    vocabulary = by_word.where((F.col("t") > WORD_DISCOUNTS[0]) | (F.col("p") > WORD_DISCOUNTS[0])).collect()
-    bigrams = counted.where((F.col("t") > BIGRAM_DISCOUNT) | (F.col("p") > BIGRAM_DISCOUNT)).select("history", "word", "t", "p").collect()
-    histories = counted.groupBy("history").agg(F.sum("t").alias("t"), F.sum("p").alias("p"), F.sum(least("t", BIGRAM_DISCOUNT)).alias("tc"), F.sum(least("p", BIGRAM_DISCOUNT)).alias("pc"))
-    histories = histories.where("t > tc OR p > pc").collect()
-    held = sample.where("curve").select("toxic", "text")
-    best = None
-    for discount in WORD_DISCOUNTS:
-        model = Ratio(vocabulary, histories, bigrams, totals, discount)
-        rows = held.mapInArrow(partial(_featured, model=model, curve=np.zeros(3)), "toxic int, score double, peak double, mean double").collect()
-        y = np.array([r["toxic"] for r in rows], float)
-        x = np.array([(r["peak"], r["mean"]) for r in rows]).reshape(-1, 2)
-        if min(y.sum(), (1 - y).sum()) < 5:  # too few to fit a curve on: a peak of 0.7 per word is as likely as not
-            return model, np.array([-7.0, 10.0, 0.0])
-        curve = logistic(x, y)
-        loss = np.logaddexp(0, -(2 * y - 1) * (curve[0] + x @ curve[1:])).mean()
-        if best is None or loss < best[0]:
-            best = loss, model, curve
-    return best[1], best[2]
+    vocabulary = by_word.where((F.col(f"c0_{every}") > 1) | (F.col(f"c1_{every}") > 1)).drop("h0_0", "h0_1", "h1_0", "h1_1").orderBy("word").toPandas()
+    model = Ratio(vocabulary, totals)
+    rows = np.array(sample.select("toxic", "fold", "text").mapInArrow(partial(_measured, model=model), "toxic int, x0 double, x1 double, x2 double").toPandas(), float)
+    return model.last(), logistic(rows[:, 1:], rows[:, 0] == 1)
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
@@ -182,7 +212,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.7)
     ids = docs.select("doc_id", "text")
     if (fitted := fit(docs, labels)) is None:
         return ids.select("doc_id", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
-    scored = ids.mapInArrow(partial(_featured, model=fitted[0], curve=fitted[1]), "doc_id long, score double, peak double, mean double")
+    scored = ids.mapInArrow(partial(_scored, model=fitted[0], curve=fitted[1]), "doc_id long, score double")
     return scored.withColumn("predicted", F.when(F.col("score") >= threshold, 1).otherwise(0))
 
 
@@ -202,7 +232,6 @@ def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) ->
 
     def keep(batches):
         for batch in batches:
-            scored = next(_featured([batch.select(["text"])], model=model, curve=curve))
-            yield batch.filter(pa.array(scored.column("score").to_numpy() < threshold))
+            yield batch.filter(pa.array(_scores(batch.column("text").to_pylist(), model, curve) < threshold))
 
     return docs.mapInArrow(keep, docs.schema).select(*names)

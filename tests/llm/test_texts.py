@@ -227,20 +227,37 @@ def test_language_of_held_out_documents(docs, rows, nothing):
     assert langid.language_held_out(nothing).count() == 0
 
 
-def test_toxicity_of_held_out_documents(spark, nothing):
-    """On the table with over a hundred toxic labels to learn from and to judge by."""
-    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
-    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+@pytest.mark.parametrize(("size", "recall"), [("sf0.01", 0.25), ("sf0.1", 0.75)])
+def test_toxicity_of_held_out_documents(spark, nothing, size, recall):
+    """With 33 toxic labels to learn from, and with 305."""
+    docs = spark.read.parquet(f"/root/testdata/{size}/documents.parquet")
+    labels = spark.read.parquet(f"/root/testdata/{size}/labels.parquet")
     got = {r.doc_id: r for r in toxicity.toxicity_held_out(docs, labels).collect()}
     assert len(got) == docs.count() and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in got.values())
     assert all(r.held_out == (zlib.crc32(str(i).encode()) % 3 == 1) for i, r in got.items())
     truth = {r.doc_id: r.toxic for r in labels.collect() if r.toxic is not None and r.doc_id in got and got[r.doc_id].held_out}
-    assert sum(got[i].predicted == y for i, y in truth.items()) >= 0.9 * len(truth)
     toxic, plain = ([got[i].score for i, y in truth.items() if y == k] for k in (1, 0))
-    assert np.mean(np.subtract.outer(toxic, plain) > 0) >= 0.9
-    assert sum(x >= 0.7 for x in plain) <= 0.03 * len(plain)
+    print(size, "found", sum(x >= 0.7 for x in toxic), "of", len(toxic), "flagged", sum(x >= 0.7 for x in plain), "of", len(plain))
+    assert sum(got[i].predicted == y for i, y in truth.items()) >= 0.88 * len(truth)
+    assert sum(x >= 0.7 for x in toxic) >= recall * len(toxic)
+    assert sum(x >= 0.7 for x in plain) <= 0.02 * len(plain)
+    assert np.mean(np.subtract.outer(toxic, plain) > 0) >= 0.8
     assert toxicity.toxicity_held_out(nothing.select("doc_id", "text"), labels).count() == 0
 
 
+def test_toxicity_of_odd_rows(spark):
+    """Null and empty texts, repeated rows, clashing labels, labels of one class only."""
+    rows = [(i, f"calm{i} words number {i} here", "x") for i in range(40)] + [(100 + i, f"some{i} scum word {i}", "x") for i in range(20)]
+    rows += [(200, None, "x"), (201, "", "x"), (None, "again scum", "x"), (100, "some0 scum word 0", "x"), (202, LONG, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score string")
+    labels = spark.createDataFrame([(i, int(i >= 100), 0) for i, *_ in rows[:60]] + [(100, 0, 0), (None, 1, 0), (3, None, 0)], "doc_id long, toxic int, h int")
+    got = toxicity.toxicity_scores(docs, labels).collect()
+    assert len(got) == len(rows) and all(0 <= r.score <= 1 for r in got)
+    score = {r.doc_id: r.score for r in got}
+    assert score[200] == score[201] < score[101] and max(score[i] for i in range(40)) < min(score[100 + i] for i in range(20)) and score[None] > score[0]
+    one_class = toxicity.toxicity_scores(docs, labels.where("toxic = 0")).collect()
+    assert {(r.score, r.predicted) for r in one_class} == {(0.0, 0)}
+
+
 def test_backoff_scores_of_no_documents(nothing):
     assert lm_score.lm_scores(nothing).count() == 0
