@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from helmtrack.llm.common import written
+from helmtrack.llm.common import discard, written
 
 TRAIN_ROWS, TRAIN_BYTES = 24_000, 96_000_000
 #: Words in a window.
@@ -204,6 +204,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[Ratio, np.ndarray] | None:
     vocabulary = by_word.where((F.col(f"c0_{every}") > 1) | (F.col(f"c1_{every}") > 1)).drop("h0_0", "h0_1", "h1_0", "h1_1").orderBy("word").toPandas()
     model = Ratio(vocabulary, totals)
     rows = np.array(sample.select("toxic", "fold", "text").mapInArrow(partial(_measured, model=model), "toxic int, x0 double, x1 double, x2 double").toPandas(), float)
+    discard(texts)
+    discard(by_word)
     return model.last(), logistic(rows[:, 1:], rows[:, 0] == 1)
 
 
