@@ -12,9 +12,8 @@ pairs with their gains, which holds none of the many pairs seen once, is joined
 documents, and the table of word counts to their exploded distinct words; both are summed per document. Keys that
 very many documents hold are split by Spark's adaptive skew joins; sums are partial before the last shuffle.
 
-Counts are kept by the words themselves. Only the last join, of frequent pairs with the pairs of documents, is by the
-64-bit xxhash of the two words, which halves its shuffle: with 10^12 frequent pairs, one pair in 10^7 would
-take another's gain. Words are runs of characters other than space and
+Counts are kept by the words themselves. Only the joins to the words and pairs of documents are by a
+64-bit xxhash, which halves their shuffles: with 10^12 frequent pairs, one pair in 10^7 would take another's gain too. Words are runs of characters other than space and
 0x09-0x0D, with A-Z lower-cased.
 
 Defined results: a null text or one without words has n_tokens 0, log_score 0 and a null mean. Repeated
@@ -39,21 +38,16 @@ def _words():
     return F.filter(F.split(lowered, r"[\x20\x09-\x0D]+"), lambda w: w != "")
 
 
-def _pairs():
-    after = F.slice("words", 2, F.greatest(F.size("words") - 1, F.lit(0)))
-    before = F.slice("words", 1, F.greatest(F.size("words") - 1, F.lit(0)))
-    return F.arrays_zip(before.alias("h"), after.alias("w"))
-
-
 def lm_scores(docs: DataFrame, alpha: float = ALPHA, min_count: int = MIN_COUNT) -> DataFrame:
     """Per row of ``docs``: doc_id, n_tokens, log_score, mean_log_score."""
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), _words().alias("words"))
     rows = written(rows, "word-arrays")
-    each_word = rows.select("row", F.explode("words").alias("w"))
+    placed = rows.select("row", "words", F.posexplode("words").alias("at", "w"))
+    each_word = placed.select("row", "w")
     words = written(each_word.groupBy("w").agg(F.count("*").alias("n")), "word-counts")
     total = words.agg(F.sum("n")).first()[0] or 0
-    each_pair = rows.select("row", F.explode(_pairs()).alias("p")).select("row", F.col("p.h").alias("h"), F.col("p.w").alias("w"))
-    seen = each_pair.groupBy(F.concat_ws(" ", "h", "w").alias("both")).agg(F.count("*").alias("n"))
+    each_pair = placed.where("at > 0").select("row", F.get("words", F.col("at") - 1).alias("h"), "w")
+    seen = each_pair.groupBy(F.concat("h", F.lit(" "), "w").alias("both")).agg(F.count("*").alias("n"))
     parts = F.split("both", " ")
     frequent = written(seen.where(F.col("n") >= min_count).select(parts[0].alias("h"), parts[1].alias("w"), "n"), "frequent-pairs")
     first, second = (words.select(F.col("w").alias(c), F.col("n").alias(f"n_{c}")) for c in "hw")
@@ -63,7 +57,8 @@ def lm_scores(docs: DataFrame, alpha: float = ALPHA, min_count: int = MIN_COUNT)
     discard(frequent)
     gained = written(each_pair.select("row", pair).join(gains, "pair").groupBy("row").agg(F.sum("gain").alias("gain")), "gains")
     discard(gains)
-    base = written(each_word.join(words, "w").groupBy("row").agg(F.sum(backed_off("n")).alias("base")), "backed-off")
+    word = F.xxhash64("w").alias("word")
+    base = written(each_word.select("row", word).join(words.select(word, "n"), "word").groupBy("row").agg(F.sum(backed_off("n")).alias("base")), "backed-off")
     scored = rows.select("row", "doc_id", F.size("words").cast("long").alias("n_tokens")).join(base, "row", "left").join(gained, "row", "left")
     score = F.coalesce(F.col("base") - math.log(alpha) + F.coalesce("gain", F.lit(0.0)), F.lit(0.0))  # a first word isn't backed off
     return scored.select("doc_id", "n_tokens", score.alias("log_score"), F.when(F.col("n_tokens") > 0, score / F.col("n_tokens")).alias("mean_log_score"))
