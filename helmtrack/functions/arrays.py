@@ -17,15 +17,19 @@ def differences(a: Column, from_origin: bool = True) -> Column:
     return F.zip_with(a, before, lambda x, p: x - p)
 
 
+def finite(x: Column) -> Column:
+    """Neither null, NaN nor infinite. Spark orders NaN above all numbers, so comparisons need this guard."""
+    return F.coalesce(~F.isnan(x) & (F.abs(x) != float("inf")), F.lit(False))
+
+
 def smooth5(a: Column, passes: int = 1) -> Column:
     """Weights 1 2 3 2 1 over 9 with repeated edges; non-finite values count as 0. Traces of fewer than five
     values stay."""
     at = lambda t, i: F.get(t, F.greatest(F.least(i, F.size(t) - 1), F.lit(0)))
-    clean = F.transform(a, lambda x: F.when(F.isnan(x) | (F.abs(x) == float("inf")), 0.0).otherwise(x))
-    weighted = lambda t: lambda x, i: (at(t, i - 2) + at(t, i + 2) + 2.0 * (at(t, i - 1) + at(t, i + 1)) + 3.0 * x) / 9.0
-    out = clean
+    weighted = lambda t: F.transform(t, lambda x, i: (at(t, i - 2) + at(t, i + 2) + 2.0 * (at(t, i - 1) + at(t, i + 1)) + 3.0 * x) / 9.0)
+    out = F.transform(a, lambda x: F.when(finite(x), x).otherwise(0.0))
     for _ in range(passes):
-        out = F.transform(out, weighted(out))
+        out = F.get(F.transform(F.array(out), weighted), F.lit(0))  # bound once, not computed anew for each element
     return F.when(F.size(a) < 5, a).otherwise(out)
 
 
@@ -36,11 +40,11 @@ def smooth3(a: Column, side: float = 0.25, least: int = 5) -> Column:
 
 
 def max_run(a: Column, test) -> Column:
-    """The longest run of values that pass the test."""
+    """The longest run of values that pass the test; NaN passes none."""
     start = F.struct(F.lit(0).alias("run"), F.lit(0).alias("best"))
 
     def step(s, x):
-        run = F.when(test(x), s["run"] + 1).otherwise(0)
+        run = F.when(test(x) & ~F.isnan(x), s["run"] + 1).otherwise(0)
         return F.struct(run.alias("run"), F.greatest(s["best"], run).alias("best"))
 
     return F.aggregate(a, start, step, lambda s: s["best"])
@@ -57,7 +61,7 @@ def sign_runs(a: Column, threshold: float, min_run: int) -> Column:
         return F.when(fresh, F.concat(s["seq"], F.array(s["sign"]))).otherwise(s["seq"])
 
     def step(s, x):
-        sign = F.when(x >= threshold, 1).when(x <= -threshold, -1).otherwise(0)
+        sign = F.when(F.isnan(x), 0).when(x >= threshold, 1).when(x <= -threshold, -1).otherwise(0)
         same = sign == s["sign"]
         return F.struct(
             F.when(same, s["seq"]).otherwise(closed(s)).alias("seq"),
@@ -91,12 +95,13 @@ def low_runs(a: Column, threshold: float, min_frames: int) -> Column:
 
 
 def has_s_curve(a: Column, threshold: float, min_run: int) -> Column:
-    """Both signs have a long enough run beyond the threshold, and significant neighbours change sign."""
+    """Both signs have a long enough run beyond the threshold, and significant neighbours change sign. False for
+    a trace with a value that isn't finite."""
     if threshold <= 0:
         return F.lit(False)
     strong = F.filter(a, lambda x: F.abs(x) >= threshold)
     flips = F.exists(F.zip_with(strong, shifted(strong, F.element_at(strong, 1)), lambda x, p: x * p), lambda p: p < 0)
-    return (F.size(strong) > 1) & (max_run(a, lambda x: x >= threshold) >= min_run) & (max_run(a, lambda x: x <= -threshold) >= min_run) & flips
+    return F.forall(a, finite) & (F.size(strong) > 1) & (max_run(a, lambda x: x >= threshold) >= min_run) & (max_run(a, lambda x: x <= -threshold) >= min_run) & flips
 
 
 def continuously_low(a: Column, threshold: float, frames: int) -> Column:

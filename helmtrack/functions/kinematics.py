@@ -161,18 +161,22 @@ def limited_resample(x: np.ndarray, y: np.ndarray, dt: float = DT, margin: float
 
 
 def scheduled_resample(x: np.ndarray, y: np.ndarray, initial_speed: np.ndarray, steps: int, dt: float = DT) -> tuple:
-    """Points of a path at a distance schedule of constant acceleration from the initial speed to its end."""
-    lengths = np.cumsum(np.hypot(np.diff(x, axis=1), np.diff(y, axis=1)), axis=1)
-    lengths = np.concatenate([np.zeros((len(x), 1)), lengths], 1)
-    total, horizon = lengths[:, -1], steps * dt
-    mean = total / horizon
-    start = np.clip(initial_speed, 0.2, np.maximum(mean * 2.0, 0.2))
-    end = np.maximum(0.2, 2.0 * mean - start)
-    t = np.arange(1, steps + 1) * dt
-    distance = np.maximum.accumulate(start[:, None] * t + 0.5 * ((end - start) / horizon)[:, None] * t * t, axis=1)
-    distance = np.clip(distance * (total / np.maximum(distance[:, -1], 1e-6))[:, None], 0.0, total[:, None])
-    out = [(np.interp(d, s, a), np.interp(d, s, b)) if s[-1] > 1e-6 else (np.full(steps, a[0]), np.full(steps, b[0])) for d, s, a, b in zip(distance, lengths, x, y)]
-    return np.array([p[0] for p in out]), np.array([p[1] for p in out])
+    """Points of each path after 1 to ``steps`` steps of a speed that changes evenly. It starts at the initial speed, at
+    least 0.2 and at most twice the mean, and ends so that the mean is kept, but at 0.2 at least; the way is
+    scaled to end where the path ends. A path without length stays at its first point."""
+    gone = np.insert(np.cumsum(np.hypot(np.diff(x), np.diff(y)), axis=1), 0, 0.0, axis=1)
+    whole = gone[:, -1:]
+    twice_mean = 2 * whole / (steps * dt)
+    ends = np.empty((len(x), 2))
+    ends[:, :1] = np.minimum(np.maximum(initial_speed[:, None], 0.2), np.maximum(twice_mean, 0.2))
+    ends[:, 1:] = np.maximum(twice_mean - ends[:, :1], 0.2)
+    share = np.linspace(1 / steps, 1, steps)
+    way = steps * dt * (ends[:, :1] * share + (ends[:, 1:] - ends[:, :1]) * share**2 / 2)  # the integral of the speed
+    way = np.minimum(np.maximum.accumulate(way, axis=1) / way[:, -1:], 1.0) * whole
+    out = np.stack([np.stack([np.interp(w, g, v) for w, g, v in zip(way, gone, axis)]) for axis in (x, y)])
+    still = whole[:, 0] <= 1e-6
+    out[:, still] = np.stack([x[still, :1], y[still, :1]])
+    return out[0], out[1]
 
 
 def bezier(control: np.ndarray, t: np.ndarray) -> np.ndarray:

@@ -41,21 +41,28 @@ def covered(left: DataFrame, right: DataFrame, by: list[str], left_ts: str, righ
 
 
 def interpolated(left: DataFrame, right: DataFrame, by: list[str], left_ts: str, right_ts: str, value: str) -> DataFrame:
-    """Adds ``value`` at the left time, linear between its neighbours; outside them the nearest one's."""
-    both = bracket(left, right, by, left_ts, right_ts, [value])
-    span = F.col("after.at") - F.col("before.at")
-    share = F.when(span > 0, (F.col(left_ts) - F.col("before.at")) / span).otherwise(0.0)
-    low, high = F.coalesce(f"before.{value}", f"after.{value}"), F.coalesce(f"after.{value}", f"before.{value}")
-    return both.withColumn(value, low + share * (high - low)).drop("before", "after")
-
-
-def tolerance_join(left: DataFrame, right: DataFrame, by: list[str], left_ts: str, right_ts: str, tolerance_us: int, key: str) -> DataFrame:
-    """The nearest right row within the tolerance, by an equi-join on time cells as wide as the tolerance: each
-    left row looks in three cells. ``key`` identifies left rows. Ties go to the earlier right row."""
-    cell = lambda c: F.floor(F.col(c) / tolerance_us)
-    a = left.withColumn("_cell", F.explode(F.array(*[cell(left_ts) + d for d in (-1, 0, 1)])))
-    b = right.select(*[F.col(c).alias(f"r_{c}") if c not in by else F.col(c) for c in right.columns], cell(right_ts).alias("_cell"))
-    near = a.join(b, [*by, "_cell"]).where(F.abs(F.col(left_ts) - F.col(f"r_{right_ts}")) <= tolerance_us)
-    distance = F.abs(F.col(left_ts) - F.col(f"r_{right_ts}"))
-    best = near.groupBy(key).agg(F.min(F.struct(distance.alias("distance"), F.col(f"r_{right_ts}").alias("at"))).alias("match"))
-    return left.join(best, key, "left")
+    """Adds ``value`` at the left time: linear between its neighbours, and outside them on the line through the two
+    nearest rows. With one right row only, that row's value."""
+    order = Window.partitionBy(*by).orderBy(right_ts)
+    slope = lambda row: (F.col(value) - row(value).over(order)) / (F.col(right_ts) - row(right_ts).over(order))
+    sloped = right.withColumns({"_ahead": slope(F.lead), "_behind": slope(F.lag)})
+    both = bracket(left, sloped, by, left_ts, right_ts, [value, "_ahead", "_behind"])
+    base = F.coalesce("before", "after")
+    incline = F.when(F.col("before").isNull() | F.col("after").isNotNull(), base["_ahead"]).otherwise(base["_behind"])
+    off = F.col(left_ts) - base["at"]
+    return both.withColumn(value, base[value] + F.when(off != 0, F.coalesce(incline, F.lit(0.0)) * off).otherwise(0.0)).drop("before", "after")
+
+
+def frames_near(left: DataFrame, right: DataFrame, by: list[str], left_ts: str, right_ts: str, tolerance_us: int) -> DataFrame:
+    """All right rows of the one frame that is nearest to each left row, at most the tolerance away (inclusive): an
+    as-of lookup among distinct frames, then an equi-join. Left rows without such a frame are left out."""
+    frames = right.select(*by, right_ts).distinct()
+    at = nearest(left, frames, by, left_ts, right_ts, [], tolerance_us).where("match IS NOT NULL").withColumn("_at", F.col("match.at")).drop("match")
+    return at.join(right.withColumnRenamed(right_ts, "_at"), [*by, "_at"]).withColumnRenamed("_at", right_ts)
+
+
+def native_frame(left: DataFrame, right: DataFrame, by: list[str], left_ts: str, right_ts: str, index: str, stored: str, tolerance_us: int) -> DataFrame:
+    """Adds ``frame``: the index of the frame at the left time, else of the nearest within the tolerance, else the
+    stored index."""
+    found = nearest(left, right, by, left_ts, right_ts, [index], tolerance_us)
+    return found.withColumn("frame", F.coalesce(F.col(f"match.{index}"), F.col(stored))).drop("match")

@@ -71,8 +71,18 @@ def kmeans(rows: DataFrame, feature: str, k: int, seed: int = 42, max_iter: int
     n = ready.count()
     if not n:
         raise ValueError("no rows to cluster")
-    model = KMeans(k=max(2, min(k, n)), seed=seed, maxIter=max_iter, featuresCol="_feature", predictionCol="cluster").fit(ready)
+    if k < 1:
+        raise ValueError("k must be at least 1")
+    if min(k, n) == 1:  # MLlib starts at two clusters
+        mean = ready.select(F.posexplode(feature)).groupBy("pos").agg(F.avg("col").alias("m"))
+        centre = [r.m for r in mean.orderBy("pos").collect()]  # as long as one feature
+        off = F.aggregate(F.transform(feature, lambda v, i: F.pow(v - F.get(F.lit(centre), i), 2)), F.lit(0.0), lambda s, v: s + v)
+        inertia = float(ready.agg(F.sum(off)).first()[0])
+        ready.unpersist()
+        return rows.withColumn("cluster", F.lit(0)), rows.sparkSession.createDataFrame([(0, centre)], "cluster int, centre array<double>"), inertia
+    model = KMeans(k=min(k, n), seed=seed, maxIter=max_iter, featuresCol="_feature", predictionCol="cluster").fit(ready)
     centre_rows = [(i, [float(v) for v in c]) for i, c in enumerate(model.clusterCenters())]
     centres = rows.sparkSession.createDataFrame(centre_rows, "cluster int, centre array<double>")
-    labelled = model.transform(ready).drop("_feature")
-    return labelled, centres, float(model.summary.trainingCost)
+    inertia = float(model.summary.trainingCost)
+    ready.unpersist()
+    return model.transform(rows.withColumn("_feature", array_to_vector(F.col(feature)))).drop("_feature"), centres, inertia

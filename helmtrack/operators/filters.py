@@ -36,7 +36,8 @@ def pseudo_truth(rows: DataFrame, source: str = "source") -> DataFrame:
 def safe_int(value: Column, default: int = 0, least: int | None = None) -> Column:
     """A whole number, or the default where the value is null, NaN or no number."""
     number = value.try_cast("double")
-    out = F.coalesce(F.when(~F.isnan(number), number).try_cast("long"), F.lit(default).cast("long"))
+    exact = value.cast("string").try_cast("decimal(38,6)").try_cast("long")  # a double would round beyond 2^53
+    out = F.coalesce(exact, F.when(~F.isnan(number), number).try_cast("long"), F.lit(default).cast("long"))
     return F.greatest(out, F.lit(least).cast("long")) if least is not None else out
 
 
@@ -88,18 +89,70 @@ def is_straight(xs: Column, ys: Column, speed: Column, min_speed: float, min_for
     return (speed >= min_speed) & (final_x >= min_forward) & (F.abs(final_y) <= max_final) & (widest <= max_lateral) & (slope <= max_slope)
 
 
-def category(stops: Column, s_curve: Column, straight: Column, final_y: Column) -> Column:
-    """stop, s_curve, straight, then left or right by the side of the end; the order matters."""
-    return F.when(stops, "stop").when(s_curve, "s_curve").when(straight, "straight").when(final_y > 0, "left").otherwise("right")
+#: Least way ahead (m) and mean speed (m/s) of a window that goes anywhere, and the sum of absolute
+#: curvatures up to which it counts as straight.
+STOP_FORWARD, STOP_SPEED, STRAIGHT_CURVATURE = 2.0, 0.35, 0.15
 
 
-def trend_allowed(sequence: Column, kind: Column) -> Column:
-    """Whether a curvature sign sequence fits the category: straight none, left only plus, right only minus,
-    an s_curve both."""
+def category(xs: Column, ys: Column, speed: Column, curvature: Column, straight: Column, threshold: float = 0.01, min_run: int = 3) -> Column:
+    """stop, s_curve, straight, then left or right by the side of the end; the order matters. ``straight`` is the
+    geometry predicate for gentle windows at speed; NaN speeds don't count in the mean."""
+    from helmtrack.functions.arrays import has_s_curve
+
+    add = lambda s, v: s + v
+    known = F.filter(speed, lambda v: ~F.isnan(v))
+    mean = F.aggregate(known, F.lit(0.0), add) / F.nullif(F.size(known), F.lit(0))
+    bend = F.aggregate(F.transform(curvature, F.abs), F.lit(0.0), add)
     return (
+        F.when((F.element_at(xs, -1) < STOP_FORWARD) | (mean < STOP_SPEED), "stop")
+        .when(has_s_curve(curvature, threshold, min_run) & (bend > STRAIGHT_CURVATURE), "s_curve")
+        .when((bend <= STRAIGHT_CURVATURE) | straight, "straight")
+        .otherwise(F.when(F.element_at(ys, -1) <= 0, "right").otherwise("left"))
+    )
+
+
+def first_change(sequence: Column) -> Column:
+    """The first two neighbouring signs that differ, as one array; null where none do."""
+    n = F.greatest(F.size(sequence) - 1, F.lit(0))
+    pairs = F.zip_with(F.slice(sequence, 1, n), F.slice(sequence, 2, n), lambda a, b: F.array(a, b))
+    return F.try_element_at(F.filter(pairs, lambda p: p[0] != p[1]), F.lit(1))
+
+
+def trend_allowed(sequence: Column, kind: Column, truths: Column) -> Column:
+    """Whether a candidate's curvature sign sequence fits. ``truths`` are the sequences of the true windows; empty ones
+    don't count. An s_curve needs the first change of one of them, or any change where they have none; another
+    category one of them; where there is none, straight needs no sign, left only plus, right only minus."""
+    known = F.filter(truths, lambda t: F.size(t) > 0)
+    changes = F.filter(F.transform(known, first_change), lambda c: c.isNotNull())
+    own = first_change(sequence)
+    curve = F.when(F.size(changes) > 0, F.coalesce(F.array_contains(changes, own), F.lit(False))).otherwise(own.isNotNull())
+    alone = (
         F.when(kind == "straight", F.size(sequence) == 0)
-        .when(kind == "left", F.forall(sequence, lambda s: s > 0))
-        .when(kind == "right", F.forall(sequence, lambda s: s < 0))
-        .when(kind == "s_curve", F.exists(sequence, lambda s: s > 0) & F.exists(sequence, lambda s: s < 0))
+        .when(kind == "left", (F.size(sequence) > 0) & F.forall(sequence, lambda s: s >= 0))
+        .when(kind == "right", (F.size(sequence) > 0) & F.forall(sequence, lambda s: s <= 0))
         .otherwise(F.lit(True))
     )
+    return F.when(kind == "s_curve", curve).when(F.size(known) > 0, F.exists(known, lambda t: t == sequence)).otherwise(alone)
+
+
+def gt_overlap_free(rows: DataFrame, allowed: DataFrame, column: str) -> DataFrame:
+    """Rows whose value is in the allowed set, by a semi-join."""
+    return rows.join(allowed.select(column).distinct(), column, "left_semi")
+
+
+def expandable(t0_index: Column, history: Column, steps: int = 16) -> Column:
+    """A sample has its history in its own clip, or brings one along."""
+    return (t0_index >= steps - 1) | history.isNotNull()
+
+
+def next_labelled(rows: DataFrame, by: list[str], order: str, label: str, wanted: str) -> DataFrame:
+    """Adds ``next_at``: where the nearest later row of the group with the wanted label is."""
+    ahead = Window.partitionBy(*by).orderBy(order).rowsBetween(1, Window.unboundedFollowing)
+    return rows.withColumn("next_at", F.first(F.when(F.col(label) == wanted, F.col(order)), ignorenulls=True).over(ahead))
+
+
+def start_sample(rows: DataFrame, order: list[str], **keys) -> DataFrame:
+    """The first row, by ``order``, that has all the given keys; keys that are None don't count."""
+    for name, value in keys.items():
+        rows = rows if value is None else rows.where(F.col(name) == value)
+    return rows.orderBy(*order).limit(1)

@@ -37,4 +37,4 @@ def f46_lateral_area(spark, sf_dir):
 @query()
 def ml1_kmeans(spark, sf_dir):
     """12 clusters of the traces by MLlib's K-Means."""
-    return features.kmeans(traces(spark, sf_dir), "trace", 12, max_iter=50)[0].select("vec_id", "cluster")
+    return features.kmeans(traces(spark, sf_dir), "trace", 12)[0].select("vec_id", "cluster")

@@ -116,9 +116,10 @@ def j2_covered(spark, sf_dir):
     return asof.covered(left, right, ["user_id"], "ts_us", "at_us", 4 * GAP_US).select("user_id", "event_id", "covered")
 
 
-@query(f"""WITH {SIDES}, b AS (SELECT l.user_id, l.event_id, l.ts_us, max(CASE WHEN r.ts_us <= l.ts_us THEN r.ts_us END) AS lo, min(CASE WHEN r.ts_us >= l.ts_us THEN r.ts_us END) AS hi FROM l LEFT JOIN r ON l.user_id = r.user_id GROUP BY l.user_id, l.event_id, l.ts_us)
-SELECT b.user_id AS user_id, b.event_id AS event_id, round(CASE WHEN lo IS NULL THEN h.value WHEN hi IS NULL OR hi = lo THEN g.value ELSE g.value + CAST(b.ts_us - lo AS DOUBLE) / (hi - lo) * (h.value - g.value) END, 4) AS value
-FROM b LEFT JOIN r g ON b.user_id = g.user_id AND b.lo = g.ts_us LEFT JOIN r h ON b.user_id = h.user_id AND b.hi = h.ts_us""")
+@query(f"""WITH {SIDES}, s AS (SELECT *, (lead(value) OVER w - value) / (lead(ts_us) OVER w - ts_us) AS ahead, (value - lag(value) OVER w) / (ts_us - lag(ts_us) OVER w) AS behind FROM r WINDOW w AS (PARTITION BY user_id ORDER BY ts_us)),
+b AS (SELECT l.user_id, l.event_id, l.ts_us, max(CASE WHEN r.ts_us <= l.ts_us THEN r.ts_us END) AS lo, min(CASE WHEN r.ts_us >= l.ts_us THEN r.ts_us END) AS hi FROM l LEFT JOIN r ON l.user_id = r.user_id GROUP BY l.user_id, l.event_id, l.ts_us)
+SELECT b.user_id AS user_id, b.event_id AS event_id, round(s.value + CASE WHEN b.ts_us = s.ts_us THEN 0 ELSE coalesce(CASE WHEN lo IS NOT NULL AND hi IS NULL THEN s.behind ELSE s.ahead END, 0) * (b.ts_us - s.ts_us) END, 4) AS value
+FROM b LEFT JOIN s ON b.user_id = s.user_id AND s.ts_us = coalesce(lo, hi)""")
 def f5_interpolated(spark, sf_dir):
     left, right = _sides(spark, sf_dir)
     return asof.interpolated(left, right, ["user_id"], "ts_us", "at_us", "value").select("user_id", "event_id", F.round("value", 4).alias("value"))
@@ -128,7 +129,7 @@ def f5_interpolated(spark, sf_dir):
 SELECT l.user_id AS user_id, l.event_id AS event_id, p.at_us AS match_us FROM l LEFT JOIN p ON l.event_id = p.event_id AND p.k = 1""")
 def j5_tolerance_join(spark, sf_dir):
     left, right = _sides(spark, sf_dir)
-    found = asof.tolerance_join(left, right, ["user_id"], "ts_us", "at_us", GAP_US, "event_id")
+    found = asof.nearest(left, right, ["user_id"], "ts_us", "at_us", [], GAP_US)
     return found.select("user_id", "event_id", F.col("match.at").alias("match_us"))
 
 

@@ -47,7 +47,7 @@ def centres(spark: SparkSession, path: str) -> DataFrame:
     """Centres of lines ``CENTER id count x0 y0 ...``; other lines are passed over."""
     t = F.col("t")
     rows = _tokens(spark, path).where(t[0] == "CENTER")
-    return rows.select(t[1].cast("int").alias("center_id"), t[2].cast("long").alias("count"), _numbers(t, 4, F.size("t") - 3).alias("xy"))
+    return rows.select(t[1].cast("int").alias("center_id"), t[2].cast("long").alias("count"), _numbers(t, 4, F.size("t") - 3).alias("xy")).orderBy("center_id")
 
 
 def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -69,6 +69,6 @@ def window_lines(rows: DataFrame) -> DataFrame:
 
 
 def write_clips(rows: DataFrame, path: str, order: tuple[str, ...] = ("t0_us", "sample_idx")) -> None:
-    """Parquet by dataset and clip, overwritten, each file in ``order``."""
+    """Parquet by dataset and clip, each file in ``order``. The clips written are overwritten, others stay."""
     dealt = rows.repartition("dataset", "clip").sortWithinPartitions("dataset", "clip", *order)
-    dealt.write.mode("overwrite").partitionBy("dataset", "clip").parquet(path)
+    dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dataset", "clip").parquet(path)
