@@ -31,6 +31,12 @@ from pyspark.sql import functions as F
 from helmtrack.llm.common import discard, written
 
 ALPHA, MIN_COUNT = 0.4, 2
+#: Passes over the pairs, each for the pairs of one slice of hashes: shuffle files are only ever those of one.
+SLICES = 2
+
+
+def _slice():
+    return F.pmod(F.xxhash64("h", "w"), F.lit(SLICES))
 
 
 def _words():
@@ -47,16 +53,25 @@ def lm_scores(docs: DataFrame, alpha: float = ALPHA, min_count: int = MIN_COUNT)
     words = written(each_word.groupBy("w").agg(F.count("*").alias("n")), "word-counts")
     total = words.agg(F.sum("n")).first()[0] or 0
     each_pair = placed.where("at > 0").select("row", F.get("words", F.col("at") - 1).alias("h"), "w")
-    seen = each_pair.groupBy(F.concat("h", F.lit(" "), "w").alias("both")).agg(F.count("*").alias("n"))
     parts = F.split("both", " ")
-    frequent = written(seen.where(F.col("n") >= min_count).select(parts[0].alias("h"), parts[1].alias("w"), "n"), "frequent-pairs")
+
+    def frequent_of(part: int) -> DataFrame:
+        seen = each_pair.where(_slice() == part).groupBy(F.concat("h", F.lit(" "), "w").alias("both")).agg(F.count("*").alias("n"))
+        return written(seen.where(F.col("n") >= min_count).select(parts[0].alias("h"), parts[1].alias("w"), "n"), "frequent-pairs")
+
     first, second = (words.select(F.col("w").alias(c), F.col("n").alias(f"n_{c}")) for c in "hw")
     pair, backed_off = F.xxhash64("h", "w").alias("pair"), lambda n: F.log(alpha * F.col(n) / total)
     gain = F.log(F.col("n") / F.col("n_h")) - backed_off("n_w")
-    gains = written(frequent.join(first, "h").join(second, "w").select(pair, gain.alias("gain")), "pair-gains")
-    discard(frequent)
-    gained = written(each_pair.select("row", pair).join(gains, "pair").groupBy("row").agg(F.sum("gain").alias("gain")), "gains")
-    discard(gains)
+    gained = None
+    for part in range(SLICES):
+        frequent = frequent_of(part)
+        gains = written(frequent.join(first, "h").join(second, "w").select(pair, gain.alias("gain")), "pair-gains")
+        discard(frequent)
+        sums = each_pair.where(_slice() == part).select("row", pair).join(gains, "pair").groupBy("row").agg(F.sum("gain").alias("gain"))
+        sums = written(sums, "gains")
+        discard(gains)
+        gained = sums if gained is None else gained.unionByName(sums)
+    gained = gained.groupBy("row").agg(F.sum("gain").alias("gain"))
     word = F.xxhash64("w").alias("word")
     base = written(each_word.select("row", word).join(words.select(word, "n"), "word").groupBy("row").agg(F.sum(backed_off("n")).alias("base")), "backed-off")
     scored = rows.select("row", "doc_id", F.size("words").cast("long").alias("n_tokens")).join(base, "row", "left").join(gained, "row", "left")
