@@ -9,12 +9,14 @@ Two count tables are built by grouping exploded n-grams, with Spark's partial co
 pairs, both partitioned by hash. Every word scores as backed off at first, so a document's sum is that of its words;
 a pair that is frequent enough has a gain over that, which depends only on the pair. So the table of frequent
 pairs with their gains, which holds none of the many pairs seen once, is joined to the exploded pairs of the
-documents, and the table of word counts to their exploded distinct words; both are summed per document. Keys that
-very many documents hold are split by Spark's adaptive skew joins; sums are partial before the last shuffle.
+documents, and the table of word counts to their exploded words; both are summed per document. Keys that very
+many documents hold are split by Spark's adaptive skew joins; sums are partial before the last shuffle.
 
-Counts are kept by the words themselves. Only the joins to the words and pairs of documents are by a
-64-bit xxhash, which halves their shuffles: with 10^12 frequent pairs, one pair in 10^7 would take another's gain too. Words are runs of characters other than space and
-0x09-0x0D, with A-Z lower-cased.
+Both tables are kept by 64-bit hashes: a word by its xxhash, a pair by those of its two words, a pair in the join
+by the xxhash of both. With 10^9 distinct words a corpus has 0.03 words that share a hash; with 10^12 frequent pairs,
+one pair in 10^7 would take another's gain too. The pairs go in ``SLICES`` passes by hash, in which all take part.
+The joins hash the count tables, whose keys are unique, and stream the documents' n-grams. Words are runs of
+characters other than space and 0x09-0x0D, with A-Z lower-cased.
 
 Defined results: a null text or one without words has n_tokens 0, log_score 0 and a null mean. Repeated
 rows count and are scored each. An empty table gives an empty result. Other columns play no part.
@@ -31,49 +33,56 @@ from pyspark.sql import functions as F
 from helmtrack.llm.common import discard, written
 
 ALPHA, MIN_COUNT = 0.4, 2
-#: Passes over the pairs, each for the pairs of one slice of hashes: shuffle files are only ever those of one.
-SLICES = 2
+#: Passes over the n-grams, each for one slice of hashes: shuffle files are only ever those of one.
+SLICES = 3
 
 
-def _slice():
-    return F.pmod(F.xxhash64("h", "w"), F.lit(SLICES))
+def _ascii(text):
+    return F.char_length(text) == F.octet_length(text)
 
 
 def _words():
-    lowered = F.translate(F.coalesce(F.col("text"), F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
-    return F.filter(F.split(lowered, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    """Words, A-Z lower-cased: by ``lower`` where a text or word is ASCII, which is the same there and faster."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    split = lambda t: F.array_remove(F.split(t, r"[\x20\x09-\x0D]+"), "")
+    folded = lambda w: F.when(_ascii(w), F.lower(w)).otherwise(F.translate(w, string.ascii_uppercase, string.ascii_lowercase))
+    return F.when(_ascii(text), split(F.lower(text))).otherwise(F.transform(split(text), folded))
+
+
+def _in_slice(key, part: int):
+    return F.pmod(key, F.lit(SLICES)) == part
 
 
 def lm_scores(docs: DataFrame, alpha: float = ALPHA, min_count: int = MIN_COUNT) -> DataFrame:
     """Per row of ``docs``: doc_id, n_tokens, log_score, mean_log_score."""
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), _words().alias("words"))
     rows = written(rows, "word-arrays")
-    placed = rows.select("row", "words", F.posexplode("words").alias("at", "w"))
-    each_word = placed.select("row", "w")
-    words = written(each_word.groupBy("w").agg(F.count("*").alias("n")), "word-counts")
-    total = words.agg(F.sum("n")).first()[0] or 0
-    each_pair = placed.where("at > 0").select("row", F.get("words", F.col("at") - 1).alias("h"), "w")
-    parts = F.split("both", " ")
+    placed = rows.select("row", "words", F.posexplode("words").alias("at", "word"))
+    each_word = placed.select("row", F.xxhash64("word").alias("key"))
+    before = F.xxhash64(F.get("words", F.col("at") - 1))
+    each_pair = placed.where("at > 0").select("row", before.alias("h"), F.xxhash64("word").alias("w"))
+    pair = F.xxhash64("h", "w")
 
-    def frequent_of(part: int) -> DataFrame:
-        seen = each_pair.where(_slice() == part).groupBy(F.concat("h", F.lit(" "), "w").alias("both")).agg(F.count("*").alias("n"))
-        return written(seen.where(F.col("n") >= min_count).select(parts[0].alias("h"), parts[1].alias("w"), "n"), "frequent-pairs")
-
-    first, second = (words.select(F.col("w").alias(c), F.col("n").alias(f"n_{c}")) for c in "hw")
-    pair, backed_off = F.xxhash64("h", "w").alias("pair"), lambda n: F.log(alpha * F.col(n) / total)
+    words = written(each_word.groupBy("key").agg(F.count("*").alias("n")), "word-counts")
+    total = words.agg(F.sum("n")).first()[0] or 0
+    backed_off = lambda n: F.log(alpha * F.col(n) / total)
     gain = F.log(F.col("n") / F.col("n_h")) - backed_off("n_w")
-    gained = None
+    first, second = (words.select(F.col("key").alias(c), F.col("n").alias(f"n_{c}")) for c in "hw")
+
+    summed = None
     for part in range(SLICES):
-        frequent = frequent_of(part)
-        gains = written(frequent.join(first, "h").join(second, "w").select(pair, gain.alias("gain")), "pair-gains")
+        seen = each_pair.where(_in_slice(pair, part)).groupBy("h", "w").agg(F.count("*").alias("n"))
+        frequent = written(seen.where(F.col("n") >= min_count), "frequent-pairs")
+        gains = frequent.join(first, "h").join(second, "w").select(pair.alias("key"), gain.alias("score"))
+        of_words = words.where(_in_slice(F.col("key"), part)).select("key", backed_off("n").alias("score"))
+        pairs, singles = written(gains, "pair-gains"), each_word.where(_in_slice(F.col("key"), part))
         discard(frequent)
-        sums = each_pair.where(_slice() == part).select("row", pair).join(gains, "pair").groupBy("row").agg(F.sum("gain").alias("gain"))
-        sums = written(sums, "gains")
-        discard(gains)
-        gained = sums if gained is None else gained.unionByName(sums)
-    gained = gained.groupBy("row").agg(F.sum("gain").alias("gain"))
-    word = F.xxhash64("w").alias("word")
-    base = written(each_word.select("row", word).join(words.select(word, "n"), "word").groupBy("row").agg(F.sum(backed_off("n")).alias("base")), "backed-off")
-    scored = rows.select("row", "doc_id", F.size("words").cast("long").alias("n_tokens")).join(base, "row", "left").join(gained, "row", "left")
-    score = F.coalesce(F.col("base") - math.log(alpha) + F.coalesce("gain", F.lit(0.0)), F.lit(0.0))  # a first word isn't backed off
+        met = each_pair.select("row", pair.alias("key")).where(_in_slice(F.col("key"), part)).unionByName(singles)
+        scores = pairs.unionByName(of_words).hint("shuffle_hash")
+        sums = written(met.join(scores, "key").groupBy("row").agg(F.sum("score").alias("score")), "sums")
+        discard(pairs)
+        summed = sums if summed is None else summed.unionByName(sums)
+    summed = summed.groupBy("row").agg(F.sum("score").alias("score"))
+    scored = rows.select("row", "doc_id", F.size("words").cast("long").alias("n_tokens")).join(summed, "row", "left")
+    score = F.coalesce(F.col("score") - math.log(alpha), F.lit(0.0))  # a first word isn't backed off
     return scored.select("doc_id", "n_tokens", score.alias("log_score"), F.when(F.col("n_tokens") > 0, score / F.col("n_tokens")).alias("mean_log_score"))
