@@ -40,7 +40,7 @@ TRAIN_ROWS, TRAIN_BYTES = 24_000, 96_000_000
 #: Words in a window.
 WINDOW = 3
 #: Folds of the sample; an even number, as their parity makes the halves of the deleted estimation.
-FOLDS = 6
+FOLDS = 12
 
 _WORDS = re.compile(r"[^\W_]+")
 
