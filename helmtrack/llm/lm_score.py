@@ -6,17 +6,19 @@ words, which is also the score (without ``alpha``) of a document's first word. A
 the logarithms, and their mean.
 
 Two count tables are built by grouping exploded n-grams, with Spark's partial counts before the shuffle: words and
-pairs, both partitioned by hash. Every word scores as backed off at first, so a document's sum is that of its words;
-a pair that is frequent enough has a gain over that, which depends only on the pair. So the table of frequent
-pairs with their gains, which holds none of the many pairs seen once, is joined to the exploded pairs of the
-documents, and the table of word counts to their exploded words; both are summed per document. Keys that very
+pairs, both partitioned by hash. Every word scores at first as a backed-off word that occurs once; a word that occurs more
+often has a gain over that, and so has a pair that is frequent enough over its backed-off word. Gains depend only on
+the n-gram, so neither table holds the many n-grams seen once. The table of words' gains is joined to the exploded words of
+the documents, that of pairs' gains to their exploded pairs; both are summed per document. Keys that very
 many documents hold are split by Spark's adaptive skew joins; sums are partial before the last shuffle.
 
-Both tables are kept by 64-bit hashes: a word by its xxhash, a pair by those of its two words, a pair in the join
-by the xxhash of both. With 10^9 distinct words a corpus has 0.03 words that share a hash; with 10^12 frequent pairs,
-one pair in 10^7 would take another's gain too. The pairs go in ``SLICES`` passes by hash, in which all take part.
-The joins hash the count tables, whose keys are unique, and stream the documents' n-grams. Words are runs of
-characters other than space and 0x09-0x0D, with A-Z lower-cased.
+Texts become arrays of word hashes once; both tables are kept by 64-bit hashes: a word by its xxhash, a pair by those of its
+two words, a pair in the join by the xxhash of both. With 10^9 distinct words a corpus has 0.03 words that share a hash;
+with 10^12 frequent pairs, one pair in 10^7 would take another's gain too. Pairs and words go in ``SLICES`` passes
+each, by hash, in which all take part. The pairs' joins hash the table of gains, whose keys are unique, and stream the
+documents' pairs. How the words meet their counts is left to Spark, which knows the size of the written table: below
+spark.sql.autoBroadcastJoinThreshold it sends the table to the documents, beyond it both are shuffled. Words are runs
+of characters other than space and 0x09-0x0D, with A-Z lower-cased.
 
 Defined results: a null text or one without words has n_tokens 0, log_score 0 and a null mean. Repeated
 rows count and are scored each. An empty table gives an empty result. Other columns play no part.
@@ -26,6 +28,7 @@ from __future__ import annotations
 
 import math
 import string
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,7 +37,7 @@ from helmtrack.llm.common import discard, written
 
 ALPHA, MIN_COUNT = 0.4, 2
 #: Passes over the n-grams, each for one slice of hashes: shuffle files are only ever those of one.
-SLICES = 3
+SLICES = 2
 
 
 def _ascii(text):
@@ -55,34 +58,34 @@ def _in_slice(key, part: int):
 
 def lm_scores(docs: DataFrame, alpha: float = ALPHA, min_count: int = MIN_COUNT) -> DataFrame:
     """Per row of ``docs``: doc_id, n_tokens, log_score, mean_log_score."""
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), _words().alias("words"))
-    rows = written(rows, "word-arrays")
-    placed = rows.select("row", "words", F.posexplode("words").alias("at", "word"))
-    each_word = placed.select("row", F.xxhash64("word").alias("key"))
-    before = F.xxhash64(F.get("words", F.col("at") - 1))
-    each_pair = placed.where("at > 0").select("row", before.alias("h"), F.xxhash64("word").alias("w"))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.transform(_words(), lambda w: F.xxhash64(w)).alias("keys"))
+    rows = written(rows, "word-keys")
+    each_word = rows.select("row", F.explode("keys").alias("key"))
+    placed = rows.select("row", "keys", F.posexplode("keys").alias("at", "w")).where("at > 0")
+    each_pair = placed.select("row", F.get("keys", F.col("at") - 1).alias("h"), "w")
     pair = F.xxhash64("h", "w")
 
-    words = written(each_word.groupBy("key").agg(F.count("*").alias("n")), "word-counts")
-    total = words.agg(F.sum("n")).first()[0] or 0
-    backed_off = lambda n: F.log(alpha * F.col(n) / total)
-    gain = F.log(F.col("n") / F.col("n_h")) - backed_off("n_w")
+    words = written(each_word.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "word-counts")
+    total = max(rows.agg(F.sum(F.size("keys"))).first()[0] or 0, 1)
+    gain = F.log(F.col("n") / F.coalesce("n_h", F.lit(1))) - F.log(alpha * F.coalesce("n_w", F.lit(1)) / total)
     first, second = (words.select(F.col("key").alias(c), F.col("n").alias(f"n_{c}")) for c in "hw")
 
-    summed = None
+    def sums(met: DataFrame, scores: DataFrame) -> DataFrame:
+        return written(met.join(scores, "key").groupBy("row").agg(F.sum("score").alias("score")), "sums")
+
+    parts = []
     for part in range(SLICES):
         seen = each_pair.where(_in_slice(pair, part)).groupBy("h", "w").agg(F.count("*").alias("n"))
         frequent = written(seen.where(F.col("n") >= min_count), "frequent-pairs")
-        gains = frequent.join(first, "h").join(second, "w").select(pair.alias("key"), gain.alias("score"))
-        of_words = words.where(_in_slice(F.col("key"), part)).select("key", backed_off("n").alias("score"))
-        pairs, singles = written(gains, "pair-gains"), each_word.where(_in_slice(F.col("key"), part))
+        gains = written(frequent.join(first, "h", "left").join(second, "w", "left").select(pair.alias("key"), gain.alias("score")), "pair-gains")
         discard(frequent)
-        met = each_pair.select("row", pair.alias("key")).where(_in_slice(F.col("key"), part)).unionByName(singles)
-        scores = pairs.unionByName(of_words).hint("shuffle_hash")
-        sums = written(met.join(scores, "key").groupBy("row").agg(F.sum("score").alias("score")), "sums")
-        discard(pairs)
-        summed = sums if summed is None else summed.unionByName(sums)
+        parts.append(sums(each_pair.select("row", pair.alias("key")).where(_in_slice(F.col("key"), part)), gains.hint("shuffle_hash")))
+        discard(gains)
+        of_words = words.where(_in_slice(F.col("key"), part)).select("key", F.log("n").alias("score"))
+        parts.append(sums(each_word.where(_in_slice(F.col("key"), part)), of_words))
+    summed = reduce(DataFrame.unionByName, parts)
     summed = summed.groupBy("row").agg(F.sum("score").alias("score"))
-    scored = rows.select("row", "doc_id", F.size("words").cast("long").alias("n_tokens")).join(summed, "row", "left")
-    score = F.coalesce(F.col("score") - math.log(alpha), F.lit(0.0))  # a first word isn't backed off
+    scored = rows.select("row", "doc_id", F.size("keys").cast("long").alias("n_tokens")).join(summed, "row", "left")
+    once = F.col("n_tokens") * math.log(alpha / total) - math.log(alpha)  # a first word isn't backed off
+    score = F.when(F.col("n_tokens") > 0, once + F.coalesce("score", F.lit(0.0))).otherwise(0.0)
     return scored.select("doc_id", "n_tokens", score.alias("log_score"), F.when(F.col("n_tokens") > 0, score / F.col("n_tokens")).alias("mean_log_score"))
