@@ -15,10 +15,8 @@ many documents hold are split by Spark's adaptive skew joins; sums are partial b
 Texts become arrays of word hashes once; both tables are kept by 64-bit hashes: a word by its xxhash, a pair by those of its
 two words, a pair in the join by the xxhash of both. With 10^9 distinct words a corpus has 0.03 words that share a hash;
 with 10^12 frequent pairs, one pair in 10^7 would take another's gain too. Pairs and words go in ``SLICES`` passes
-each, by hash, in which all take part. The pairs' joins hash the table of gains, whose keys are unique, and stream the
-documents' pairs. How the words meet their counts is left to Spark, which knows the size of the written table: below
-spark.sql.autoBroadcastJoinThreshold it sends the table to the documents, beyond it both are shuffled. Words are runs
-of characters other than space and 0x09-0x0D, with A-Z lower-cased.
+each, by hash, in which all take part. All joins hash the count table, whose keys are unique, and stream the documents'
+n-grams without sorting them. Words are runs of characters other than space and 0x09-0x0D, with A-Z lower-cased.
 
 Defined results: a null text or one without words has n_tokens 0, log_score 0 and a null mean. Repeated
 rows count and are scored each. An empty table gives an empty result. Other columns play no part.
@@ -68,10 +66,10 @@ def lm_scores(docs: DataFrame, alpha: float = ALPHA, min_count: int = MIN_COUNT)
     words = written(each_word.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "word-counts")
     total = max(rows.agg(F.sum(F.size("keys"))).first()[0] or 0, 1)
     gain = F.log(F.col("n") / F.coalesce("n_h", F.lit(1))) - F.log(alpha * F.coalesce("n_w", F.lit(1)) / total)
-    first, second = (words.select(F.col("key").alias(c), F.col("n").alias(f"n_{c}")) for c in "hw")
+    first, second = (words.hint("shuffle_hash").select(F.col("key").alias(c), F.col("n").alias(f"n_{c}")) for c in "hw")
 
     def sums(met: DataFrame, scores: DataFrame) -> DataFrame:
-        return written(met.join(scores, "key").groupBy("row").agg(F.sum("score").alias("score")), "sums")
+        return written(met.join(scores.hint("shuffle_hash"), "key").groupBy("row").agg(F.sum("score").alias("score")), "sums")
 
     parts = []
     for part in range(SLICES):
@@ -79,7 +77,7 @@ def lm_scores(docs: DataFrame, alpha: float = ALPHA, min_count: int = MIN_COUNT)
         frequent = written(seen.where(F.col("n") >= min_count), "frequent-pairs")
         gains = written(frequent.join(first, "h", "left").join(second, "w", "left").select(pair.alias("key"), gain.alias("score")), "pair-gains")
         discard(frequent)
-        parts.append(sums(each_pair.select("row", pair.alias("key")).where(_in_slice(F.col("key"), part)), gains.hint("shuffle_hash")))
+        parts.append(sums(each_pair.select("row", pair.alias("key")).where(_in_slice(F.col("key"), part)), gains))
         discard(gains)
         of_words = words.where(_in_slice(F.col("key"), part)).select("key", F.log("n").alias("score"))
         parts.append(sums(each_word.where(_in_slice(F.col("key"), part)), of_words))
