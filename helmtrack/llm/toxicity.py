@@ -29,7 +29,6 @@ import re
 from functools import partial
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -78,12 +77,12 @@ SEEN = [[f for f in range(FOLDS) if f != out] for out in range(FOLDS)] + [list(r
 class Ratio:
     """Log-likelihood ratios of words, one model for each entry of SEEN; tables are bounded by the sample."""
 
-    def __init__(self, vocabulary: pd.DataFrame, totals: dict):
-        self.ids = {w: i + 1 for i, w in enumerate(vocabulary["word"])}
+    def __init__(self, vocabulary: pa.Table, totals: dict):
+        self.ids = {w: i + 1 for i, w in enumerate(vocabulary["word"].to_pylist())}
         cuts = [[0.0, 1.0, *self.estimated(totals, y)] for y in (0, 1)]
-        self.ratio = np.zeros((len(SEEN), len(vocabulary) + 1))
+        self.ratio = np.zeros((len(SEEN), vocabulary.num_rows + 1))
         for m in range(len(SEEN)):
-            shared = vocabulary[f"s{m}"].to_numpy(float) / max(totals[f"s{m}"], 1)
+            shared = vocabulary[f"s{m}"].to_numpy().astype(float) / max(totals[f"s{m}"], 1)
             side = []
             for y in (0, 1):
                 n, sure = max(totals[f"c{y}_{m}"], 1), vocabulary[f"c{y}_{m}"].to_numpy()
@@ -201,7 +200,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[Ratio, np.ndarray] | None:
     every = len(SEEN) - 1
     if not totals[f"c0_{every}"] or not totals[f"c1_{every}"]:
         return None
-    vocabulary = by_word.where((F.col(f"c0_{every}") > 1) | (F.col(f"c1_{every}") > 1)).drop("h0_0", "h0_1", "h1_0", "h1_1").orderBy("word").toPandas()
+    vocabulary = by_word.where((F.col(f"c0_{every}") > 1) | (F.col(f"c1_{every}") > 1)).drop("h0_0", "h0_1", "h1_0", "h1_1").orderBy("word").toArrow()
     model = Ratio(vocabulary, totals)
     rows = np.array(sample.select("toxic", "fold", "text").mapInArrow(partial(_measured, model=model), "toxic int, x0 double, x1 double, x2 double").toPandas(), float)
     discard(texts)
