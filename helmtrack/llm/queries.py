@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from helmtrack.llm import ann, bpe, chat, exact_dedup, jaccard, langid, lm_score, packing, suffix_dedup, toxicity
+from helmtrack.llm import ann, bpe, chat, divergence, exact_dedup, jaccard, langid, line_dedup, lm_score, packing, periodic, suffix_dedup, toxicity
 from helmtrack.llm.common import read
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -74,6 +74,22 @@ def op10_backoff_scores(spark, sf_dir):
     return found.select("doc_id", "n_tokens", F.round("log_score", 4).alias("log_score"), F.round("mean_log_score", 4).alias("mean_log_score"))
 
 
+def op11_source_divergence(spark, sf_dir):
+    """How far apart the term shares of each two sources of a language are, and each source's own terms."""
+    return divergence.source_divergence(read(spark, sf_dir, "documents"))
+
+
+def op12_line_dedup(spark, sf_dir):
+    """Every document without the long lines that five documents or more share, as digests."""
+    found = line_dedup.line_dedup(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", "kept_sha256")
+
+
+def op13_periodic_runs(spark, sf_dir):
+    """The periodic runs of words of every whole text, one in ten of which is tiled first, as digests."""
+    return periodic.periodic_run_digest(read(spark, sf_dir, "documents"))
+
+
 OP10_SQL = """
 WITH lowered AS (
   SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
@@ -157,10 +173,100 @@ FROM n JOIN g ON n.t = g.t
 """
 
 
+OP11_SQL = """
+WITH rows AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS row,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms FROM documents
+), each AS (
+  SELECT lang, source, row, unnest(terms) AS term FROM rows
+), kept AS (
+  SELECT lang, term, count(*) AS n_lang FROM each GROUP BY lang, term HAVING count(DISTINCT row) >= 30
+), languages AS (
+  SELECT lang, count(*) AS v, sum(n_lang) AS n_all FROM kept GROUP BY lang
+), groups AS (
+  SELECT DISTINCT lang, source FROM rows
+), counts AS (
+  SELECT e.lang AS lang, e.source AS source, e.term AS term, count(*) AS n FROM each e JOIN kept k ON e.lang = k.lang AND e.term = k.term GROUP BY e.lang, e.source, e.term
+), totals AS (
+  SELECT lang, source, sum(n) AS n FROM counts GROUP BY lang, source
+), shares AS (
+  SELECT g.lang AS lang, g.source AS source, k.term AS term, coalesce(c.n, 0) AS n,
+    CAST(1 + (CAST(1000000000 AS HUGEINT) * (coalesce(c.n, 0) + 5)) // (coalesce(t.n, 0) + 5 * l.v) AS BIGINT) AS p,
+    CAST(1 + (CAST(1000000000 AS HUGEINT) * (k.n_lang + 5)) // (l.n_all + 5 * l.v) AS BIGINT) AS q
+  FROM groups g JOIN kept k ON g.lang = k.lang JOIN languages l ON g.lang = l.lang
+  LEFT JOIN counts c ON g.lang = c.lang AND g.source = c.source AND k.term = c.term LEFT JOIN totals t ON g.lang = t.lang AND g.source = t.source
+), prices AS (
+  SELECT a.lang AS lang, a.source AS source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source
+), pairs AS (
+  SELECT a.lang AS lang, a.source AS source, 'pair' AS part, b.source AS item, CAST(coalesce(p.value, 0) AS BIGINT) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN prices p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+), own AS (
+  SELECT lang, source, 'term' AS part, term AS item, p - q AS value FROM shares WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS INTEGER) AS rank FROM (SELECT * FROM pairs UNION ALL SELECT * FROM own)
+)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
+OP12_SQL = """
+WITH lines AS (
+  SELECT doc_id, row_number() OVER () AS row, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), placed AS (
+  SELECT doc_id, row, unnest(lines) AS line, unnest(range(len(lines))) AS place FROM lines
+), keyed AS (
+  SELECT doc_id, row, place, line, translate(regexp_replace(line, '^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM placed
+), frequent AS (
+  SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+), marked AS (
+  SELECT k.doc_id AS doc_id, k.row AS row, k.place AS place, k.line AS line, f.key IS NOT NULL AND k.doc_id <> f.keeper AS lost FROM keyed k LEFT JOIN frequent f ON k.key = f.key
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE lost) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT lost), '')) AS kept_sha256
+FROM marked GROUP BY doc_id, row
+"""
+
+
+#: The checksum of an identifier bit by bit, then the tiling; runs are islands of words that recur a period further on.
+OP13_SQL = """
+WITH texts AS (
+  SELECT doc_id, row_number() OVER () AS row, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w,
+    xor(list_reduce(list_concat([4294967295], flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+      lambda s, x: CASE WHEN x >= 0 THEN xor(s, x) ELSE xor(s >> 1, (s & 1) * 3988292384) END), 4294967295) AS h FROM documents
+), tiles AS (
+  SELECT doc_id, row, w, len(w) AS n, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a, 3 + (h // 10) % 8 AS k FROM texts
+), sized AS (
+  SELECT doc_id, row, w, n, a, CASE WHEN a IS NOT NULL THEN 1 + (n - a) // k END AS p FROM tiles
+), unrolled AS (
+  SELECT row, n, a, p, w, unnest(range(n)) AS i FROM sized
+), placed AS (
+  SELECT row, n, i, w[1 + CASE WHEN a IS NOT NULL AND i >= a THEN a + (i - a) % p ELSE i END] AS word FROM unrolled
+), again AS (
+  SELECT x.row AS row, y.i - x.i AS p, x.i AS i FROM placed x JOIN placed y ON x.row = y.row AND x.word = y.word AND y.i > x.i AND 3 * (y.i - x.i) <= x.n
+), islands AS (
+  SELECT row, p, i, i - row_number() OVER (PARTITION BY row, p ORDER BY i) AS island FROM again
+), stretches AS (
+  SELECT row, p, min(i) AS start, count(*) + p AS length FROM islands GROUP BY row, p, island HAVING count(*) + p >= greatest(24, 3 * p)
+), runs AS (
+  SELECT row, start, length, min(p) AS period FROM stretches GROUP BY row, start, length
+), best AS (
+  SELECT row, start, length, period, row_number() OVER (PARTITION BY row ORDER BY CAST(length AS DOUBLE) / period DESC, start, period) AS place FROM runs
+), listed AS (
+  SELECT row, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS runs FROM runs GROUP BY row
+), lost AS (
+  SELECT DISTINCT row, unnest(range(start + period, start + length)) AS i FROM runs
+), collapsed AS (
+  SELECT x.row AS row, string_agg(x.word, ' ' ORDER BY x.i) AS words FROM placed x LEFT JOIN lost y ON x.row = y.row AND x.i = y.i WHERE y.i IS NULL GROUP BY x.row
+)
+SELECT t.doc_id AS doc_id, coalesce(l.n_runs, 0) AS n_runs, b.start AS start, b.length AS length, b.period AS period, 1000 * b.length // b.period AS exponent_milli,
+  sha256(coalesce(l.runs, '')) AS runs_sha256, sha256(coalesce(c.words, '')) AS collapsed_sha256
+FROM texts t LEFT JOIN listed l ON t.row = l.row LEFT JOIN best b ON t.row = b.row AND b.place = 1 LEFT JOIN collapsed c ON t.row = c.row
+"""
+
+
 def queries() -> dict:
-    found = (op1_chat_tool_calls, op2_nnls_packing, op3_suffix_dedup, op4_bpe_round_trip, op5_language_codes, op6_toxicity, op7_nn_descent, op8_jaccard_join, op9_exact_dedup, op10_backoff_scores, pipeline)
+    found = (op1_chat_tool_calls, op2_nnls_packing, op3_suffix_dedup, op4_bpe_round_trip, op5_language_codes, op6_toxicity, op7_nn_descent, op8_jaccard_join, op9_exact_dedup, op10_backoff_scores, op11_source_divergence, op12_line_dedup, op13_periodic_runs, pipeline)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict:
-    return {"op1_chat_tool_calls": OP1_SQL, "op9_exact_dedup": OP9_SQL, "op10_backoff_scores": OP10_SQL}
+    return {"op1_chat_tool_calls": OP1_SQL, "op9_exact_dedup": OP9_SQL, "op10_backoff_scores": OP10_SQL, "op11_source_divergence": OP11_SQL, "op12_line_dedup": OP12_SQL, "op13_periodic_runs": OP13_SQL}
