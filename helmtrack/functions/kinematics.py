@@ -11,13 +11,41 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from helmtrack.functions.curves import frechet_pairs
+
 DT = 0.1
 ACCEL_MIN, ACCEL_MAX, SPEED_MAX = -6.0, 2.0, 15.0
 
 
+def _blocks(columns: list, usable: np.ndarray):
+    """For rows whose lists are alike in length: their numbers, and each column as an array of (rows, steps) or (rows,)."""
+    lists = [pa.types.is_list(c.type) for c in columns]
+    lengths = np.stack([np.nan_to_num(c.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64) if k else np.ones(len(c), np.int64) for c, k in zip(columns, lists)], axis=1)
+    rows = np.flatnonzero(usable & (lengths > 0).all(1))
+    kinds, which = np.unique(lengths[rows], axis=0, return_inverse=True)
+    for kind in range(len(kinds)):
+        at = rows[which.ravel() == kind]
+        taken = [c.take(pa.array(at)) for c in columns]
+        yield at, [np.asarray(t.flatten(), float).reshape(len(at), -1) if k else np.asarray(t, float) for t, k in zip(taken, lists)]
+
+
+def _column(parts: list, n: int, is_list: bool) -> pa.Array:
+    """Blocks of (row numbers, values) as one column of n rows; null where no block has a row."""
+    kind = pa.list_(pa.float64()) if is_list else pa.float64()
+    arrays = []
+    for at, block in parts:
+        block = np.ascontiguousarray(block, float)
+        arrays.append(pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1) * block.shape[1], pa.int32()), pa.array(block.ravel())) if is_list else pa.array(block))
+    place = np.full(n, -1)
+    rows = np.concatenate([at for at, _ in parts]) if parts else np.zeros(0, np.int64)
+    place[rows] = np.arange(len(rows))
+    whole = pa.concat_arrays(arrays) if arrays else pa.array([], kind)
+    return whole.take(pa.array(place, mask=place < 0)).cast(kind)
+
+
 def with_kernel(df: DataFrame, inputs: list[str], outputs: dict[str, str], kernel: Callable[..., tuple]) -> DataFrame:
-    """``df`` with columns added by a kernel. Inputs are arrays of doubles of one length per row, or numbers;
-    outputs name ``array<double>`` or ``double`` columns. Rows with a null input or of no steps get nulls."""
+    """``df`` with columns added by a kernel. Inputs are arrays of doubles, or numbers; rows whose arrays are alike in length
+    meet in a block. Outputs name ``array<double>`` or ``double`` columns. Rows with a null input or of no steps get nulls."""
     keep = [c for c in df.columns if c not in outputs]
     df = df.select(*keep)
     schema = ", ".join([f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep] + [f"`{c}` {k}" for c, k in outputs.items()])
@@ -25,23 +53,14 @@ def with_kernel(df: DataFrame, inputs: list[str], outputs: dict[str, str], kerne
     def run(batches):
         for batch in batches:
             columns = [batch.column(c) for c in inputs]
-            lists = [pa.types.is_list(c.type) for c in columns]
             usable = np.ones(batch.num_rows, bool)
             for c in columns:
                 usable &= np.asarray(c.is_valid())
-            length = np.zeros(batch.num_rows, np.int64)
-            for c, is_list in zip(columns, lists):
-                if is_list:
-                    length = np.nan_to_num(c.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
-            found: dict[str, list] = {c: [None] * batch.num_rows for c in outputs}
-            for n in np.unique(length[usable & (length > 0)]):
-                rows = np.flatnonzero(usable & (length == n))
-                taken = [c.take(pa.array(rows)) for c in columns]
-                blocks = [np.asarray(t.flatten(), float).reshape(len(rows), -1) if is_list else np.asarray(t, float) for t, is_list in zip(taken, lists)]
-                for name, block in zip(outputs, kernel(*blocks)):
-                    for row, value in zip(rows.tolist(), block.tolist()):
-                        found[name][row] = value
-            arrays = [pa.array(found[c], pa.list_(pa.float64()) if k.startswith("array") else pa.float64()) for c, k in outputs.items()]
+            parts: list[list] = [[] for _ in outputs]
+            for at, blocks in _blocks(columns, usable):
+                for part, block in zip(parts, kernel(*blocks)):
+                    part.append((at, block))
+            arrays = [_column(part, batch.num_rows, k.startswith("array")) for part, k in zip(parts, outputs.values())]
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + arrays, names=[*keep, *outputs])
 
     return df.mapInArrow(run, schema)
@@ -198,14 +217,5 @@ def bezier_chain(points: np.ndarray, samples: int = 96) -> np.ndarray:
 
 
 def frechet(a: np.ndarray, b: np.ndarray) -> float:
-    """Discrete Frechet distance of two curves (points by rows): row by row, the least over ways to a cell of
-    the largest distance on the way."""
-    d = np.sqrt(((a[:, None, :] - b[None, :, :]) ** 2).sum(2))
-    row = np.maximum.accumulate(d[0])
-    for i in range(1, len(d)):
-        reach = np.minimum(row, np.append(np.inf, row[:-1]))
-        after = np.empty_like(row)
-        for j in range(len(row)):
-            after[j] = max(d[i, j], min(reach[j], after[j - 1]) if j else reach[0])
-        row = after
-    return float(row[-1])
+    """Discrete Frechet distance of two curves (points by rows)."""
+    return float(frechet_pairs(np.asarray(a, float)[None], np.asarray(b, float)[None])[0])
