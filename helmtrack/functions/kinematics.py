@@ -120,84 +120,6 @@ def rollout(acceleration: np.ndarray, curvature: np.ndarray, initial_speed: np.n
     return x, y
 
 
-def clamp_forward(speed: np.ndarray, dt: float = DT, low: float = ACCEL_MIN, high: float = ACCEL_MAX) -> np.ndarray:
-    """Speeds whose every transition from the one before is within the acceleration limits."""
-    out = np.maximum(np.where(np.isfinite(speed), speed, 0.0), 0.0)
-    for i in range(1, out.shape[1]):
-        out[:, i] = np.clip(out[:, i], np.maximum(0.0, out[:, i - 1] + low * dt), out[:, i - 1] + high * dt)
-    return out
-
-
-def clamp_both_ways(speed: np.ndarray, fixed: np.ndarray | None = None, rounds: int = 8, dt: float = DT, low: float = ACCEL_MIN, high: float = ACCEL_MAX, top: float = SPEED_MAX) -> np.ndarray:
-    """Forward and backward clamping, again and again; finite entries of ``fixed`` keep their speed."""
-    out = np.clip(np.where(np.isfinite(speed), speed, 0.0), 0.0, top)
-    held = np.isfinite(fixed) if fixed is not None else np.zeros(out.shape, bool)
-    if fixed is not None:
-        out = np.where(held, np.clip(np.where(held, fixed, 0.0), 0.0, top), out)
-    for _ in range(rounds):
-        for order, down, up in ((range(1, out.shape[1]), low * dt, high * dt), (range(out.shape[1] - 2, -1, -1), -high * dt, -low * dt)):
-            for i in order:
-                near = out[:, i - 1] if order.step > 0 else out[:, i + 1]
-                limited = np.clip(out[:, i], np.maximum(0.0, near + down), np.minimum(top, near + up))
-                out[:, i] = np.where(held[:, i], out[:, i], limited)
-    return out
-
-
-def along_path(x: np.ndarray, y: np.ndarray, distance: np.ndarray) -> tuple:
-    """Points at distances along each row's path, which starts at the origin."""
-    px, py = (np.concatenate([np.zeros((len(v), 1)), v], 1) for v in (x, y))
-    lengths = np.cumsum(np.hypot(np.diff(px, axis=1), np.diff(py, axis=1)), axis=1)
-    lengths = np.concatenate([np.zeros((len(x), 1)), lengths], 1)
-    pairs = [(np.interp(d, s, a), np.interp(d, s, b)) for d, s, a, b in zip(distance, lengths, px, py)]
-    return np.array([p[0] for p in pairs]), np.array([p[1] for p in pairs])
-
-
-def limited_resample(x: np.ndarray, y: np.ndarray, dt: float = DT, margin: float = 0.0, halvings: int = 32) -> tuple:
-    """The same path at speeds within the acceleration limits: a bias on all speeds is bisected until the
-    distance is kept to within 2 % or 0.25 m. Rows for which that fails are null (NaN)."""
-    step = np.hypot(*steps_from_origin(x, y))
-    total = step.sum(1)
-    low, high = np.full(len(x), -SPEED_MAX), np.full(len(x), SPEED_MAX)
-    best, error = np.zeros(x.shape), np.full(len(x), np.inf)
-    for _ in range(halvings):
-        bias = (low + high) / 2
-        speed = clamp_both_ways(step / dt + bias[:, None], low=ACCEL_MIN + margin, high=ACCEL_MAX - margin)
-        distance = speed.sum(1) * dt
-        off = np.abs(distance - total)
-        best[off < error], error = speed[off < error], np.minimum(off, error)
-        low, high = np.where(distance < total, bias, low), np.where(distance < total, high, bias)
-    allowed = np.maximum(0.25, 0.02 * total)
-    target = np.maximum.accumulate(np.clip(np.cumsum(best * dt, axis=1), 0.0, total[:, None]), axis=1)
-    target[:, -1] = np.where(np.abs(target[:, -1] - total) <= allowed, total, target[:, -1])
-    out_x, out_y = along_path(x, y, target)
-    accel = scalar_profile(out_x, out_y, dt)[2]
-    bad = (error > allowed) | (accel.min(1) < ACCEL_MIN - 0.2) | (accel.max(1) > ACCEL_MAX + 0.2)
-    still = total <= 1e-6
-    out_x[still], out_y[still] = 0.0, 0.0
-    bad &= ~still
-    out_x[bad], out_y[bad] = np.nan, np.nan
-    return out_x, out_y
-
-
-def scheduled_resample(x: np.ndarray, y: np.ndarray, initial_speed: np.ndarray, steps: int, dt: float = DT) -> tuple:
-    """Points of each path after 1 to ``steps`` steps of a speed that changes evenly. It starts at the initial speed, at
-    least 0.2 and at most twice the mean, and ends so that the mean is kept, but at 0.2 at least; the way is
-    scaled to end where the path ends. A path without length stays at its first point."""
-    gone = np.insert(np.cumsum(np.hypot(np.diff(x), np.diff(y)), axis=1), 0, 0.0, axis=1)
-    whole = gone[:, -1:]
-    twice_mean = 2 * whole / (steps * dt)
-    ends = np.empty((len(x), 2))
-    ends[:, :1] = np.minimum(np.maximum(initial_speed[:, None], 0.2), np.maximum(twice_mean, 0.2))
-    ends[:, 1:] = np.maximum(twice_mean - ends[:, :1], 0.2)
-    share = np.linspace(1 / steps, 1, steps)
-    way = steps * dt * (ends[:, :1] * share + (ends[:, 1:] - ends[:, :1]) * share**2 / 2)  # the integral of the speed
-    way = np.minimum(np.maximum.accumulate(way, axis=1) / way[:, -1:], 1.0) * whole
-    out = np.stack([np.stack([np.interp(w, g, v) for w, g, v in zip(way, gone, axis)]) for axis in (x, y)])
-    still = whole[:, 0] <= 1e-6
-    out[:, still] = np.stack([x[still, :1], y[still, :1]])
-    return out[0], out[1]
-
-
 def bezier(control: np.ndarray, t: np.ndarray) -> np.ndarray:
     """A Bezier curve of any degree at the values t, by repeated interpolation of its control points."""
     work = np.repeat(control[None, :, :], len(t), 0).astype(float)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 from helmtrack.functions import kinematics as kin
+from helmtrack.functions import resample
 
 #: Limits of generated trajectories (speed m/s, step m, acceleration m/s2, jerk m/s3, curvature 1/m), the
 #: end's tolerance and the greatest change of a point (m).
@@ -64,7 +65,9 @@ def by_speed(x: np.ndarray, y: np.ndarray, speed: np.ndarray) -> tuple:
     total = np.hypot(*kin.steps_from_origin(x, y)).sum(1)
     good = np.isfinite(way).all(1) & (way[:, -1] > 1e-6) & (total > 1e-6) & (x.shape[1] > 1)
     share = np.where(good[:, None], way, 1.0) / np.where(good, way[:, -1], 1.0)[:, None]
-    out = kin.along_path(x, y, np.clip(share * total[:, None], 0.0, total[:, None]))
+    px, py = (np.concatenate([np.zeros((len(v), 1)), v], axis=1) for v in (x, y))
+    gone = np.concatenate([np.zeros((len(x), 1)), np.cumsum(resample.lengths(x, y), axis=1)], axis=1)
+    out = [resample.along(gone, v, np.clip(share, 0.0, 1.0) * total[:, None]) for v in (px, py)]
     return tuple(np.where(good[:, None], v, np.nan) for v in out)
 
 
@@ -140,30 +143,28 @@ def violation_score(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def optimised(x: np.ndarray, y: np.ndarray, passes: int = 24) -> tuple:
-    """Rows within the limits stay. Others are smoothed by 0 to ``passes`` passes and slowed to the acceleration limits,
-    the end kept; the first that breaks no limit is taken, else the best score, in which points moved too far count.
-    Third, 1 where the result is within the limits."""
-    best, score = [x.copy(), y.copy()], violation_score(x, y)
+    """Rows within the limits stay. Others are smoothed by 0 to ``passes`` passes and slowed to the acceleration limits, the end kept, all of
+    these at once: the first that breaks no limit is taken, else the best score, in which points moved too far count, if it is below that of
+    the row as it is. Third, 1 where the result is within the limits."""
     clean = lambda u, v: ~np.any([f.any(1) for f in violations(u, v).values()], axis=0)
-    done = clean(x, y)
-    for count in range(passes + 1):
-        rows = np.flatnonzero(~done)
-        if not len(rows) or x.shape[1] < 2:
-            break
-        shape = [inside_smoothed(v[rows], count) for v in (x, y)]
-        slowed = kin.limited_resample(*shape)
+    out = [x.copy(), y.copy()]
+    rows = np.flatnonzero(~clean(x, y))
+    if len(rows) and x.shape[1] > 1:
+        tries = passes + 1
+        shape = [np.stack([inside_smoothed(v[rows], n) for n in range(tries)]).reshape(tries * len(rows), -1) for v in (x, y)]
+        slowed = resample.limited_resample(*shape)
         tried = [np.where(np.isfinite(slowed[0]).all(1)[:, None], s, g) for s, g in zip(slowed, shape)]
         for t, v in zip(tried, (x, y)):
-            t[:, -1] = v[rows, -1]
-        moved = np.hypot(tried[0] - x[rows], tried[1] - y[rows]).max(1)
-        new = violation_score(*tried) + 2.0 * np.maximum(0.0, moved - LIMITS["change"])
-        ok = clean(*tried)
-        better = ok | (new < score[rows])
-        for b, t in zip(best, tried):
-            b[rows[better]] = t[better]
-        score[rows[better]] = new[better]
-        done[rows[ok]] = True
-    return best[0], best[1], clean(*best).astype(float)
+            t[:, -1] = np.tile(v[rows, -1], tries)
+        moved = np.hypot(*(t - np.tile(v[rows], (tries, 1)) for t, v in zip(tried, (x, y)))).max(1)
+        score = (violation_score(*tried) + 2.0 * np.maximum(0.0, moved - LIMITS["change"])).reshape(tries, -1)
+        fine = clean(*tried).reshape(tries, -1)
+        pick = np.where(fine.any(0), fine.argmax(0), score.argmin(0))
+        each = np.arange(len(rows))
+        better = fine.any(0) | (score[pick, each] < violation_score(x[rows], y[rows]))
+        for o, t in zip(out, tried):
+            o[rows[better]] = t.reshape(tries, len(rows), -1)[pick[better], each[better]]
+    return out[0], out[1], clean(*out).astype(float)
 
 
 def transformed(x: np.ndarray, y: np.ndarray, speed: np.ndarray, ramp: np.ndarray, bend: np.ndarray) -> tuple:
@@ -235,9 +236,9 @@ def thinned(v: np.ndarray, points: int) -> np.ndarray:
 
 def at_fraction(x: np.ndarray, y: np.ndarray, fraction: np.ndarray) -> tuple:
     """The point at a share of each row's own length (from its first point)."""
-    lengths = np.insert(np.cumsum(np.hypot(np.diff(x), np.diff(y)), axis=1), 0, 0.0, axis=1)
-    want = np.clip(fraction, 0.0, 1.0) * lengths[:, -1]
-    return tuple(np.array([np.interp(w, s, v) if s[-1] > 1e-6 else v[0] for w, s, v in zip(want, lengths, axis)]) for axis in (x, y))
+    gone = np.concatenate([np.zeros((len(x), 1)), np.cumsum(resample.lengths(x, y, origin=False), axis=1)], axis=1)
+    want = (np.clip(fraction, 0.0, 1.0) * gone[:, -1])[:, None]
+    return tuple(np.where(gone[:, -1] > 1e-6, resample.along(gone, v, want)[:, 0], v[:, 0]) for v in (x, y))
 
 
 def nearest_fraction(x: np.ndarray, y: np.ndarray, to_x: np.ndarray, to_y: np.ndarray) -> tuple:

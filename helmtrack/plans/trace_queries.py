@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from helmtrack.functions import arrays, kinematics
+from helmtrack.functions import arrays, kinematics, resample
 from helmtrack.operators import aggregates, match
 from helmtrack.plans.registry import query
 
@@ -177,7 +177,7 @@ def f32_rollout(spark, sf_dir):
 def f11_limited_resample(spark, sf_dir):
     """Trajectories resampled within the acceleration limits; null where that can't keep their length."""
     out = {"rx": "array<double>", "ry": "array<double>"}
-    rows = kinematics.with_kernel(trajectories(spark, sf_dir), ["x", "y"], out, kinematics.limited_resample)
+    rows = kinematics.with_kernel(trajectories(spark, sf_dir), ["x", "y"], out, resample.limited_resample)
     return rows.select("vec_id", F.element_at("rx", -1).alias("end_x"), F.element_at("ry", -1).alias("end_y"))
 
 

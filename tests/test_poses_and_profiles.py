@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from helmtrack.functions import arrays, kinematics, pose, profiles
+from helmtrack.functions import arrays, kinematics, pose, profiles, resample
 from helmtrack.operators import asof, candidates, features, filters, match
 
 rng = np.random.default_rng(7)
@@ -121,7 +121,7 @@ def test_edits():
 
 
 def test_schedule_paths_and_shapes():
-    x, y = kinematics.scheduled_resample(np.insert(X, 0, 0, 1), np.insert(Y, 0, 0, 1), np.full(6, 3.0), 16)
+    x, y = resample.scheduled_resample(np.insert(X, 0, 0, 1), np.insert(Y, 0, 0, 1), np.full(6, 3.0), 16)
     for i in range(6):
         px, py = np.append(0, X[i]), np.append(0, Y[i])
         s = np.append(0, np.cumsum(np.hypot(np.diff(px), np.diff(py))))
@@ -155,7 +155,7 @@ def test_schedule_paths_and_shapes():
 
     a, b = rng.normal(size=(5, 2)), rng.normal(size=(6, 2))
     assert np.isclose(kinematics.frechet(a, b), plain(a, b, 4, 5))
-    assert np.allclose(np.diff(kinematics.clamp_forward(np.array([[0, 9, 0.0]]))), [[0.2, -0.2]])
+    assert np.allclose(np.diff(resample.limited_speed(np.array([[0, 9, 0.0]]))), [[0.2, -0.2]])
 
 
 def test_rollout_against_a_loop():
@@ -171,12 +171,6 @@ def test_rollout_against_a_loop():
             assert np.isclose(x[i, j], px) and np.isclose(y[i, j], py)
 
 
-def test_limited_resample_keeps_limits_and_end():
-    x, y = kinematics.limited_resample(np.cumsum(np.full((2, 40), 0.5), axis=1), np.zeros((2, 40)))
-    accel = kinematics.scalar_profile(x, y)[2]
-    assert np.allclose(x[:, -1], 20, atol=0.25) and accel.min() >= -6.2 and accel.max() <= 2.2
-
-
 def test_extrapolation_and_frames(spark):
     right = spark.createDataFrame([("a", 0, 0.0, 1), ("a", 10, 5.0, 2), ("a", 30, 7.0, 3), ("b", 5, 4.0, 9)], "k string, at long, value double, idx int")
     left = spark.createDataFrame([("a", -10), ("a", 5), ("a", 10), ("a", 50), ("b", 99), ("c", 1)], "k string, ts long")
