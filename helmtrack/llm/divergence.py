@@ -32,7 +32,7 @@ from helmtrack.llm.common import discard, written
 #: Documents that must hold a kept term, what is added to each count, the unit of shares, terms told of a group.
 MIN_DOCS, ADDED, UNIT, TOP = 30, 5, 1_000_000_000, 50
 #: Entries of a task's table of counts before it is sent on; bits of identifiers in a block; groups in a tile.
-TABLE_TERMS, BLOCK_BITS, TILE = 200_000, 16, 8
+TABLE_TERMS, BLOCK_BITS, TILE = 500_000, 16, 8
 
 #: Bytes of UTF-8 to bytes: A-Z to a-z, other ASCII than letters to a blank.
 _FOLD = bytes(c + 32 if chr(c) in string.ascii_uppercase else c if chr(c) in string.ascii_lowercase or c >= 128 else 32 for c in range(256))
