@@ -2,8 +2,7 @@
 
 A speed profile is limited by one pass ahead: after it all steps are within the limits, so that a pass back changes nothing. A stop
 at the end adds a ramp, the speeds from which it can still be reached; the lower of both is within the limits too. To keep the length of
-a path all wished speeds are shifted by one bias; the length driven grows with it, and the bias is found by cutting its range into
-PARTS again and again.
+a path all wished speeds are shifted by one bias; the length driven grows with it, and the bias is found by cutting its range again and again.
 """
 
 from __future__ import annotations
@@ -16,8 +15,8 @@ DT, BRAKE, PUSH, MARGIN, TOP = 0.1, -6.0, 2.0, 0.01, 15.0
 MISSED, MISSED_SHARE, SLACK, CRAWL = 0.25, 0.02, 0.2, 0.2
 #: Ways and speeds below which nothing moves.
 STILL, STANDING = 1e-6, 1e-3
-#: Parts of a bias range and how often it is cut: 8 ** 12 = 2 ** 36.
-PARTS, CUTS = 8, 12
+#: How often a bias range is cut, in half or less each time.
+CUTS = 20
 
 
 def lengths(x: np.ndarray, y: np.ndarray, origin: bool = True) -> np.ndarray:
@@ -55,15 +54,20 @@ def limited_speed(wished: np.ndarray, start: np.ndarray | None = None, dt=DT, lo
 
 def biased(profile, total: np.ndarray, dt: float = DT) -> tuple[np.ndarray, np.ndarray]:
     """(speeds, miss): of the profiles that a bias of -TOP to TOP gives, those whose way is nearest to the total. ``profile`` takes biases of
-    shape (rows, parts) and returns (rows, parts, steps)."""
-    low, high = np.full(len(total), -TOP), np.full(len(total), TOP)
+    shape (rows, k) and returns (rows, k, steps). The way is made of straight pieces in the bias, so each cut tries the middle of the range
+    and the place where the chord of its ends meets the total."""
+    off = lambda bias: profile(bias).sum(2) * dt - total[:, None]
+    ends = np.tile([-TOP, TOP], (len(total), 1)).astype(float)
+    miss = off(ends)
     for _ in range(CUTS):
-        grid = low[:, None] + (high - low)[:, None] * (np.arange(1, PARTS) / PARTS)
-        short = ((profile(grid).sum(2) * dt) < total[:, None]).sum(1)
-        width = (high - low) / PARTS
-        low, high = low + short * width, np.where(short == PARTS - 1, high, low + (short + 1) * width)
-    both = profile(np.stack([low, high], axis=1))
-    miss = np.abs(both.sum(2) * dt - total[:, None])
+        rise = miss[:, 1] - miss[:, 0]
+        part = np.where(rise > 0, -miss[:, 0] / np.where(rise > 0, rise, 1.0), 0.5)
+        tried = np.sort(ends[:, :1] + (ends[:, 1:] - ends[:, :1]) * np.stack([np.clip(part, 0.0, 1.0), np.full(len(part), 0.5)], axis=1), axis=1)
+        every, offs = np.concatenate([ends[:, :1], tried, ends[:, 1:]], axis=1), np.concatenate([miss[:, :1], new := off(tried), miss[:, 1:]], axis=1)
+        low = (new < 0).sum(1)[:, None]
+        ends, miss = (np.concatenate([np.take_along_axis(v, low, 1), np.take_along_axis(v, low + 1, 1)], axis=1) for v in (every, offs))
+    both = profile(ends)
+    miss = np.abs(miss)
     nearer = miss.argmin(1)
     rows = np.arange(len(total))
     return both[rows, nearer], miss[rows, nearer]
@@ -117,14 +121,17 @@ def limited_resample(x: np.ndarray, y: np.ndarray, initial: np.ndarray | None =
 def from_speed(x: np.ndarray, y: np.ndarray, speed: np.ndarray) -> tuple:
     """The same path from the origin, driven from a given speed within the limits; as it is where the speed is NaN or the length can't be
     kept, at the origin where there is no way."""
-    piece, gone, px, py = _from_origin(x, y)
-    total = gone[:, -1]
-    wished = np.clip(piece / DT, 0.0, TOP)
-    start = np.clip(speed, 0.0, TOP)
-    best, miss = biased(lambda bias: limited_speed(wished[:, None, :] + bias[:, :, None], np.broadcast_to(start[:, None], bias.shape), top=TOP), total)
-    out = _driven(px, py, gone, best, total)[:2]
-    same = ~np.isfinite(speed) | (miss > _allowed(total)) | (x.shape[1] < 2)
-    return tuple(np.where(same[:, None], v, np.where((total <= STILL)[:, None], 0.0, new)) for v, new in zip((x, y), out))
+    out = [x.copy(), y.copy()]
+    rows = np.flatnonzero(np.isfinite(speed))
+    if len(rows) and x.shape[1] > 1:
+        piece, gone, px, py = _from_origin(x[rows], y[rows])
+        total = gone[:, -1]
+        wished, start = np.clip(piece / DT, 0.0, TOP), np.clip(speed[rows], 0.0, TOP)
+        best, miss = biased(lambda bias: limited_speed(wished[:, None, :] + bias[:, :, None], np.broadcast_to(start[:, None], bias.shape), top=TOP), total)
+        held, rest = miss <= _allowed(total), total <= STILL
+        for o, new in zip(out, _driven(px, py, gone, best, total)):
+            o[rows] = np.where(rest[:, None], 0.0, np.where(held[:, None], new, o[rows]))
+    return out[0], out[1]
 
 
 def repaired_path(x: np.ndarray, y: np.ndarray, initial: np.ndarray) -> tuple:

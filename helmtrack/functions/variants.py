@@ -44,25 +44,32 @@ def curvature(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return kin.dynamics(x, y)[3]
 
 
-def measured(x, y, truth_x, truth_y, refs: list, share: np.ndarray) -> tuple[dict, np.ndarray, np.ndarray]:
-    """Distances of variants from the reference (of ``refs``: horizon, x, y) for which their weighted sum is least, the first of equal
-    ones; that sum; and its horizon. ``share`` is the true way's length, 1 at least, for each point."""
-    rx, ry = profiles.residual(x, y)
-    best = np.full(len(x), np.inf)
-    horizon = np.zeros(len(x), np.int64)
-    found = {m: np.full(len(x), np.inf) for m in MEASURES}
+def measured(x: np.ndarray, y: np.ndarray, refs: list, share: np.ndarray) -> tuple[dict, np.ndarray, np.ndarray]:
+    """Distances of variants (targets, variants, steps) from the reference of their target (of ``refs``: horizons, x, y; horizon 0 is none) for
+    which their weighted sum is least, the first of equal ones; that sum; and its horizon. ``share`` is the true way's length, 1 at least, for each
+    point. What depends on the target alone is worked out once for all of its variants."""
+    even = np.arange(1, x.shape[2] + 1) / x.shape[2]
+    rx, ry = x - even * x[..., -1:], y - even * y[..., -1:]
+    vx, vy = np.diff(x, axis=2, prepend=0.0), np.diff(y, axis=2, prepend=0.0)
+    speed = np.hypot(vx, vy)
+    best, horizon = np.full(x.shape[:2], np.inf), np.zeros(x.shape[:2], np.int64)
+    found = {m: np.full(x.shape[:2], np.inf) for m in MEASURES}
     for h, gx, gy in refs:
-        tx, ty = profiles.tangents(gx, gy)
-        qx, qy = profiles.residual(gx, gy)
+        (tx, ty), (qx, qy), (hx, hy) = profiles.tangents(gx, gy), profiles.residual(gx, gy), kin.steps_from_origin(gx, gy)
+        own = np.hypot(hx, hy)[:, None]
+        gx, gy, tx, ty, qx, qy, hx, hy = (v[:, None] for v in (gx, gy, tx, ty, qx, qy, hx, hy))
         dx, dy, sx, sy = x - gx, y - gy, rx - qx, ry - qy
-        along, across = np.abs(dx * tx + dy * ty), np.abs(dy * tx - dx * ty)
-        now = {"end_along": along[:, -1], "end_across": across[:, -1], "side_mean": across.mean(1), "side_most": across.max(1), "side_shape": np.abs(sy * tx - sx * ty).mean(1)}
+        across = np.abs(dy * tx - dx * ty)
+        now = {"end_along": np.abs(dx[..., -1] * tx[..., -1] + dy[..., -1] * ty[..., -1]), "end_across": across[..., -1]}
+        now |= {"side_mean": across.mean(2), "side_most": across.max(2), "side_shape": np.abs(sy * tx - sx * ty).mean(2)}
         now["end_distance"] = np.hypot(END_ALONG * now["end_along"], now["end_across"])
-        now["mean_distance"], now["shape_distance"] = np.hypot(dx, dy).mean(1), np.hypot(sx, sy).mean(1)
-        now["heading"] = profiles.heading_error(x, y, gx, gy)[0]
-        score = ALONG * now["end_along"] + ACROSS * now["end_across"] + SIDEWAYS * now["side_mean"] + MEAN * now["mean_distance"] + SHAPE * now["shape_distance"] + HEADING * now["heading"] * share
-        better = (score < best) & (h > 0)
-        best, horizon = np.where(better, score, best), np.where(better, h, horizon)
+        now["mean_distance"], now["shape_distance"] = np.hypot(dx, dy).mean(2), np.hypot(sx, sy).mean(2)
+        moving = (speed > 1e-3) & (own > 1e-3)
+        cosine = np.clip((vx * hx + vy * hy) / np.maximum(speed * own, 1e-6), -1.0, 1.0)
+        now["heading"] = ((1 - cosine) * moving).sum(2) / np.maximum(moving.sum(2), 1)
+        score = ALONG * now["end_along"] + ACROSS * now["end_across"] + SIDEWAYS * now["side_mean"] + MEAN * now["mean_distance"] + SHAPE * now["shape_distance"] + HEADING * now["heading"] * share[:, None]
+        better = (score < best) & (h > 0)[:, None]
+        best, horizon = np.where(better, score, best), np.where(better, h[:, None], horizon)
         for m in MEASURES:
             found[m] = np.where(better, now[m], found[m])
     return found, best, horizon

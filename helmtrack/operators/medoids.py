@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from helmtrack.functions.curves import frechet_table, points_of
-from helmtrack.sources.shared import kept
+from helmtrack.sources.shared import kept, spread
 
 #: Curves of a block; candidates tried in a task.
 BLOCK, SLICE = 64, 16
@@ -49,6 +49,7 @@ def pair_distances(rows: DataFrame, width: int = 2, block: int = BLOCK) -> DataF
         i, j = np.nonzero(a[:, None] < b if same else np.ones(d.shape, bool))
         return pa.Table.from_arrays([pa.array(np.minimum(a[i], b[j])), pa.array(np.maximum(a[i], b[j])), pa.array(d[i, j])], schema=_PAIRS)
 
+    left, right = spread(left, "first", "second"), spread(right, "first", "second")
     return left.groupBy("first", "second").cogroup(right.groupBy("first", "second")).applyInArrow(task, "a long, b long, distance double")
 
 
@@ -223,7 +224,7 @@ def scalable_medoids(rows: DataFrame, k: int, rounds: int = ROUNDS, width: int =
     """((key, cluster, distance), keys of the medoids by cluster) of rows (key, curve, flat), where ``flat`` are the numbers whose squares
     choose the first medoids and the candidates. The set of judges bounds the work for a cluster, not its members: every curve is assigned.
     A cluster of two or fewer takes its smaller key."""
-    rows = kept(rows.select("key", "curve", "flat"), "medoid-curves")
+    rows = kept(spread(rows.select("key", "curve", "flat"), "key"), "medoid-curves")
     medoids = _first_medoids(rows, k)
     for _ in range(rounds):
         assigned = kept(_assigned(rows, medoids, width), "medoid-assigned")

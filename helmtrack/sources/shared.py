@@ -25,3 +25,10 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/helmtrack-core/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *keys) -> DataFrame:
+    """``df`` over all of Spark's shuffle partitions, however few its bytes: for rows that are small but take long."""
+    spark = df.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return df.repartition(n, *keys)
