@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from helmtrack.operators.quantiles import exact_quantiles
+
 
 def by_position(rows: DataFrame, by: list[str], trace: str) -> DataFrame:
     """One row per position of a trace."""
@@ -22,7 +24,7 @@ def trace_stats(rows: DataFrame, trace: str, percentile: float = 0.99) -> DataFr
     """Per position: the clip value (percentile of absolute values), and mean and deviation of the clipped
     values; deviations under 1e-6 count as 1."""
     flat = by_position(rows, [], trace)
-    clip = flat.groupBy("pos").agg(F.percentile(F.abs("value"), F.lit(percentile)).alias("clip"))
+    clip = exact_quantiles(flat.select("pos", F.abs("value").alias("value")), ["pos"], [percentile]).select("pos", F.col("value").alias("clip"))
     limited = flat.join(F.broadcast(clip), "pos").withColumn("value", F.greatest(F.least("value", "clip"), -F.col("clip")))  # a row per position
     stats = limited.groupBy("pos", "clip").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"))
     return stats.withColumn("std", F.when(F.col("std") < 1e-6, 1.0).otherwise(F.col("std")))
@@ -37,8 +39,9 @@ def standardised(rows: DataFrame, key: str, trace: str, stats: DataFrame) -> Dat
 
 def spread(rows: DataFrame, trace: str) -> DataFrame:
     """Median and interquartile range over all positions and rows."""
-    q = F.percentile("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    return by_position(rows, [], trace).agg(q.alias("q")).select(F.col("q")[1].alias("median"), (F.col("q")[2] - F.col("q")[0]).alias("iqr"))
+    found = exact_quantiles(by_position(rows, [], trace).select("value"), [], [0.25, 0.5, 0.75])
+    at = lambda share: F.max(F.when(F.col("share") == share, F.col("value")))
+    return found.agg(at(0.5).alias("median"), (at(0.75) - at(0.25)).alias("iqr"))
 
 
 def cluster_sizes(assigned: DataFrame, k: int, cluster: str = "cluster") -> DataFrame:

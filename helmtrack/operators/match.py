@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from functools import reduce
 
 import numpy as np
@@ -10,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from helmtrack.sources.shared import kept
+
 #: Centre libraries up to this many numbers go to each task; larger ones are joined in blocks.
 MAX_CENTRE_VALUES = 4_000_000
 
@@ -103,25 +104,38 @@ def nearest_clusters_first(members: DataFrame, by: list[str], cluster_distance:
     return members.withColumn("cluster_rank", F.dense_rank().over(order)).where((F.col("cluster_rank") <= k) & feasible)
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint of a small frame, in spark.checkpoint.dir or (as in tests) a folder of our own."""
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="helmtrack-checkpoint-"))
-    return df.checkpoint()
-
-
-def diverse(candidates: DataFrame, by: list[str], score: str, key: str, x: str, y: str, least: float, k: int) -> DataFrame:
-    """Greedy choice per group: in order of score (null last) and key, a candidate stays if its mean point
-    distance from all that stay is at least ``least``, up to k. Each of k rounds takes every group's first
-    candidate and drops those too near it, so all candidates take part and no group is gathered in a task."""
-    order = F.struct(F.col(score).isNull().alias("unscored"), score, key)
-    left, kept = candidates, []
+def diverse(candidates: DataFrame, by: list[str], score: str, key: str, x: str, y: str, least: float, k: int, apart: float | None = None, end: float | None = None, shape: float | None = None, offset: str | None = None, inside: float = 0.05, share: float = 0.6, bonus: float = 1.4, most: float = 0.75) -> DataFrame:
+    """Greedy choice per group: in order of score (null last) and key, a candidate stays, up to k, if it is far enough from all that stay: its mean point
+    distance is at least ``least`` and more than ``apart``, and not both its end nearer than ``end`` and its residual shape nearer than
+    ``shape``. With ``offset`` candidates beyond ``inside`` come first, with a bonus for their offset (up to ``most``), until they are their share of k,
+    then those not beyond it up to the rest, then any. Each of k rounds takes every group's first candidate and drops those too near it, so all
+    candidates take part and no group is gathered in a task; a round's rest is written, so that the next doesn't compute it again."""
+    names, quota = list(candidates.columns), int(-(-k * share // 1))
+    left, chosen = candidates.withColumns({"_in": F.lit(0), "_out": F.lit(0)}), []
     for rank in range(1, k + 1):
-        first = _cut(left.groupBy(*by).agg(F.min_by(F.struct(*candidates.columns), order).alias("first")).select("first.*"))
-        kept.append(first.withColumn("rank", F.lit(rank)))
-        taken = first.select(*[F.col(c).alias(f"_{c}") for c in (*by, key, x, y)])
+        plain = [F.col(score).isNull().alias("unscored"), F.col(score).alias("score"), F.col(key).alias("key")]
+        if offset is not None:
+            within = F.coalesce(F.col(offset) > inside, F.lit(False))
+            early = within & (F.col("_in") < quota)
+            phase = F.when(early, 0).when(~within & (F.col("_out") < k - quota), 1).otherwise(2)
+            plain = [phase.alias("phase"), plain[0], F.when(early, F.col(score) - bonus * F.greatest(F.lit(0.0), F.least(F.col(offset), F.lit(most)))).otherwise(F.col(score)).alias("score"), plain[2]]
+        first = kept(left.groupBy(*by).agg(F.min_by(F.struct(*left.columns), F.struct(*plain)).alias("first")).select("first.*"), "diverse-first")
+        chosen.append(first.select(*names, F.lit(rank).alias("rank")))
+        if rank == k:
+            break
+        went_in = F.coalesce(F.col(offset) > inside, F.lit(False)) if offset is not None else F.lit(False)
+        counts = first.withColumns({"_in": F.col("_in") + went_in.cast("int"), "_out": F.col("_out") + (~went_in).cast("int")})
+        taken = counts.select(*[F.col(c).alias(f"_{c}") for c in (*by, key, x, y)], F.col("_in").alias("_now_in"), F.col("_out").alias("_now_out"))
         same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]
-        far = mean_pointwise(F.col(x), F.col(y), F.col(f"_{x}"), F.col(f"_{y}"))
-        left = left.join(taken, same).where(~F.col(key).eqNullSafe(F.col(f"_{key}")) & (far >= least) & ~F.isnan(far)).select(*candidates.columns)
-    return reduce(DataFrame.unionByName, kept) if kept else candidates.withColumn("rank", F.lit(0)).limit(0)
+        mean = mean_pointwise(F.col(x), F.col(y), F.col(f"_{x}"), F.col(f"_{y}"))
+        far = (mean >= least) & ~F.isnan(mean)
+        if apart is not None:
+            far &= mean > apart
+        if end is not None and shape is not None:
+            last = lambda c: F.element_at(c, -1)
+            ends = F.sqrt((last(x) - last(f"_{x}")) * (last(x) - last(f"_{x}")) + (last(y) - last(f"_{y}")) * (last(y) - last(f"_{y}")))
+            rest = lambda c: F.transform(c, lambda v, i: v - (i + 1) / F.size(c) * F.element_at(c, -1))
+            far &= ~((ends < end) & (mean_pointwise(rest(x), rest(y), rest(f"_{x}"), rest(f"_{y}")) < shape))
+        met = left.drop("_in", "_out").join(taken, same).where(~F.col(key).eqNullSafe(F.col(f"_{key}")) & far)
+        left = kept(met.select(*names, F.col("_now_in").alias("_in"), F.col("_now_out").alias("_out")), "diverse-left")
+    return reduce(DataFrame.unionByName, chosen) if chosen else candidates.withColumn("rank", F.lit(0)).limit(0)

@@ -19,4 +19,4 @@ def query(sql: str | None = None):
     return register
 
 
-from helmtrack.plans import curve_queries, edit_queries, feature_queries, frame_queries, pose_queries, trace_queries  # noqa: E402,F401  they register themselves
+from helmtrack.plans import curve_queries, edit_queries, feature_queries, frame_queries, pose_queries, repair_queries, trace_queries  # noqa: E402,F401  they register themselves

@@ -75,9 +75,9 @@ def trajectories(rows: DataFrame) -> DataFrame:
 
 
 def clip_order(frames: DataFrame) -> DataFrame:
-    """(dataset, clip, first_us) ordered by each clip's first frame in file order; clips without one come last."""
-    at = F.monotonically_increasing_id()
-    first = frames.withColumn("_at", at).groupBy("dataset", "clip").agg(F.min_by("timestamp", "_at").alias("first_us"))
+    """(dataset, clip, first_us) ordered by each clip's first frame in file order; clips without one come last. ``frames`` are rows of ``scan``, whose
+    files tell the place of each row, however they are split."""
+    first = frames.withColumn("_at", F.col("_metadata.row_index")).groupBy("dataset", "clip").agg(F.min_by("timestamp", "_at").alias("first_us"))
     return first.orderBy("dataset", F.asc_nulls_last("first_us"), "clip")
 
 

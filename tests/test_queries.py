@@ -12,5 +12,8 @@ def test_query_has_the_rows_of_its_sql(spark, name):
 
 
 @pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.ORACLES)))
-def test_query_without_sql_runs(spark, name):
-    assert registry.QUERIES[name](spark, SF_DIR).count() >= 0
+def test_query_without_sql_has_rows(spark, name):
+    """Their results are held against loops in the tests of their operators."""
+    rows = registry.QUERIES[name](spark, SF_DIR).collect()
+    assert rows and len({len(r) for r in rows}) == 1
+    assert all(any(v is not None for v in column) for column in zip(*rows))
