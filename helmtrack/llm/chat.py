@@ -4,7 +4,8 @@ Calls and results are joined by (conversation, call identifier). A call may name
 conversation that it comes after; levels follow that relation topologically: 0 without a predecessor, else
 one more than it. They are found by pointer doubling, so a chain of n calls takes log2(n) rounds. Arguments
 are checked against the schema of the call's tool and everything is written as canonical JSON: keys in
-order, no white space, numbers and strings in their shortest form.
+order, no white space, strings in their shortest form, numbers without exponents and without zeros after their point
+(``12.0`` and ``1.2e1`` are ``12``, and integers for a rule), except those of more than 19 digits before or 18 after it.
 
 ``calls``: conv_id, call_id, after_id (or null), name, arguments (JSON text).
 ``results``: conv_id, call_id, content.
@@ -30,18 +31,48 @@ from helmtrack.llm.common import cut
 KEY = ["conv_id", "call_id"]
 
 
+#: In JSON text: a string, or what stands between strings; there, a number, or what stands between numbers.
+_PIECE, _NUMBER = r'("(?:[^"\\]|\\.)*"|[^"]+)', r"(-?\d+(?:\.\d+)?(?:E-?\d+)?|[^-0-9]+|-)"
+#: Numbers that may have a shorter form: with an exponent, or with zeros after their point.
+_LONG = r"\d(?:E|\.\d*0(?![\d]))"
+
+
+def _plain(number: Column) -> Column:
+    """A number without exponent and without zeros after its point, if it has at most 19 digits before and 18 after it; else as it is."""
+    exact = number.try_cast("decimal(38, 18)")
+    digits = F.regexp_replace(F.regexp_replace(exact.cast("string"), r"(\.\d*?)0+$", "$1"), r"\.$", "")
+    fits = exact.isNotNull() & (F.abs(exact) < F.lit(1e19)) & (exact.cast("double") == number.try_cast("double"))
+    return F.when(number.rlike(r"^-?\d") & number.rlike(_LONG) & F.coalesce(fits, F.lit(False)), F.when(digits.isin("-0", "0E-18"), "0").otherwise(digits)).otherwise(number)
+
+
+def _written(parsed: Column) -> Column:
+    """A variant as JSON text in which equal numbers are written alike."""
+    text = F.to_json(parsed)
+    numbers = lambda between: F.array_join(F.transform(F.regexp_extract_all(between, F.lit(_NUMBER), F.lit(1)), _plain), "")
+    pieces = F.transform(F.regexp_extract_all(text, F.lit(_PIECE), F.lit(1)), lambda p: F.when(F.startswith(p, F.lit('"')), p).otherwise(numbers(p)))
+    return F.when(text.rlike(_LONG), F.array_join(pieces, "")).otherwise(text)
+
+
 def canonical(json_text: Column) -> Column:
     """JSON text in canonical form; null where it isn't JSON."""
-    return F.to_json(F.try_parse_json(json_text))
+    return _written(F.try_parse_json(json_text))
+
+
+def _path(field: str) -> str:
+    """The path of a field of any name, with dots or brackets in it too."""
+    return f"$['{field}']" if '"' in field else f'$["{field}"]'
 
 
-def _type_of(value: Column) -> Column:
-    """The JSON type of a variant; null if it is missing."""
+def _type_of(value: Column, number: Column | None = None) -> Column:
+    """The JSON type of a variant; null if it is missing. A number without a fraction is an integer, however it is written, if ``number`` (its
+    value) is given."""
     kind = F.schema_of_variant(value)
+    real = kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT")
+    whole = (real & (number == F.floor(number))) if number is not None else F.lit(False)
     return (
         F.when(kind == "STRING", "string")
-        .when(kind == "BIGINT", "integer")
-        .when(kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT"), "number")
+        .when((kind == "BIGINT") | F.coalesce(whole, F.lit(False)), "integer")
+        .when(real, "number")
         .when(kind == "BOOLEAN", "boolean")
         .when(kind.startswith("OBJECT"), "object")
         .when(kind.startswith("ARRAY"), "array")
@@ -51,11 +82,11 @@ def _type_of(value: Column) -> Column:
 
 def _field_errors(field: str, rule: dict) -> list[Column]:
     """For each rule of a field: its error where it fails, else null."""
-    path = f"$.{field}"
+    path = _path(field)
     value = F.try_variant_get("parsed", path, "variant")
-    kind = _type_of(value)
     text = F.try_variant_get("parsed", path, "string")
     number = F.try_variant_get("parsed", path, "double")
+    kind = _type_of(value, number)
     wanted = rule["type"]
     fits = kind.isin("integer", "number") if wanted == "number" else kind == wanted
     out = [F.when(value.isNotNull() & ~F.coalesce(fits, F.lit(False)), f"{field}: not {wanted}")]
@@ -82,7 +113,7 @@ def validated(calls: DataFrame, schemas: dict) -> DataFrame:
     for name, fields in sorted(schemas.items()):
         found = [e for field, rule in sorted(fields.items()) for e in _field_errors(field, rule)]
         errors = errors.when(F.col("name") == name, F.array_compact(F.array(*found)) if found else F.array().cast("array<string>"))
-    return parsed.select(*calls.columns, errors.alias("errors"), F.to_json("parsed").alias("canonical_arguments"))
+    return parsed.select(*calls.columns, errors.alias("errors"), _written(F.col("parsed")).alias("canonical_arguments"))
 
 
 def levels(calls: DataFrame) -> DataFrame:
