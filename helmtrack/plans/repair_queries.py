@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from helmtrack.functions import camera, kinematics, profiles, resample
+from helmtrack.functions import camera, kinematics, profiles, resample, rows
 from helmtrack.operators import clips, embedding, medoids, repair
 from helmtrack.plans.curve_queries import compared
 from helmtrack.plans.registry import query
@@ -131,3 +131,21 @@ def w5_borrowed_history(spark, sf_dir):
     rows = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("event_type").alias("dataset"), F.col("user_id").cast("string").alias("clip"), "event_id", "value")
     found = clips.borrowed_history(rows, "event_id", "value", 4)
     return found.select("event_id", F.round(F.aggregate("history", F.lit(0.0), lambda s, v: s + v), 5).alias("total"))
+
+
+@query(f"""WITH {POINTS}, n AS (SELECT vec_id, i, dx / 0.1 AS vx, dy / 0.1 AS vy, yaw, lag(yaw) OVER w AS a, lead(yaw) OVER w AS b FROM kin WINDOW w AS (PARTITION BY vec_id ORDER BY i))
+SELECT vec_id, i, round(vx, 5) AS vx, round(vy, 5) AS vy, round(sin(yaw / 2), 6) AS qz, round(cos(yaw / 2), 6) AS qw, round(CASE WHEN a IS NULL THEN b - yaw WHEN b IS NULL THEN yaw - a ELSE (b - a) / 2 END, 6) AS curvature FROM n""")
+def f23_row_components(spark, sf_dir):
+    """Velocity, heading and curvature by frame of the trajectories, as output rows have them."""
+    out = {c: "array<double>" for c in ("vx", "vy", "vz", "qz", "qw", "bend")}
+    found = kinematics.with_kernel(trajectories(spark, sf_dir).withColumn("z", F.transform("x", lambda _: F.lit(0.0))), ["x", "y", "z"], out, rows.components)
+    each = found.select("vec_id", F.posexplode(F.arrays_zip(*out)).alias("i", "p"))
+    return each.select("vec_id", "i", *[F.round(f"p.{c}", 5).alias(c) for c in ("vx", "vy")], *[F.round(f"p.{c}", 6).alias(n) for c, n in (("qz", "qz"), ("qw", "qw"), ("bend", "curvature"))])
+
+
+@query(f"""WITH {POINTS}, s AS (SELECT vec_id, i, step, row_number() OVER (PARTITION BY vec_id ORDER BY i) AS k FROM kin)
+SELECT vec_id, round(least(max(CASE WHEN k = 1 THEN step END) / 0.1, 15.0), 5) AS first, round(avg(CASE WHEN k <= 5 THEN step END) / 0.1, 5) AS mean FROM s GROUP BY vec_id""")
+def f54_start_speeds(spark, sf_dir):
+    """Speeds at the start of the trajectories: of the first step, and the mean of five."""
+    found = kinematics.with_kernel(trajectories(spark, sf_dir), ["x", "y"], {"first": "double", "mean": "double"}, lambda x, y: (*rows.first_step_speed(x, y), *rows.mean_step_speed(x, y)))
+    return found.select("vec_id", F.round("first", 5).alias("first"), F.round("mean", 5).alias("mean"))
