@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from helmtrack.sources.shared import kept
 
-#: Centre libraries up to this many numbers go to each task; larger ones are joined in blocks.
+#: Numbers of a block of a centre library, and of the differences that a task holds at a time.
 MAX_CENTRE_VALUES = 4_000_000
 
 
@@ -26,27 +26,33 @@ def mean_pointwise(ax: Column, ay: Column, bx: Column, by: Column) -> Column:
 
 
 def nearest_centres(rows: DataFrame, key: str, trace: str, centres: DataFrame, centre_key: str, centre_trace: str, k: int) -> DataFrame:
-    """The k nearest centres of each row, with rank and squared distance; ties go to the smaller centre. The
-    centre table is collected if it is within MAX_CENTRE_VALUES and then every task keeps k per row; else
-    rows meet blocks of centres and only each block's best k are ranked."""
+    """The k nearest centres of each row, with rank and squared distance; ties go to the smaller centre. The centre table goes to the
+    tasks in blocks of at most MAX_CENTRE_VALUES numbers, one pass over the rows for each; every pass keeps k per row, and where
+    there are several the best of these are ranked. A task holds as many differences at a time."""
     width = centres.select(F.max(F.size(centre_trace)), F.count("*")).first()
-    if (width[0] or 0) * width[1] <= MAX_CENTRE_VALUES:
-        blocks = [centres.select(centre_key, centre_trace).orderBy(centre_key).toPandas()]
-    else:
-        blocks = None
-    if blocks is None:
-        found = rows.select(key, trace).join(centres.select(centre_key, centre_trace).hint("shuffle_replicate_nl"))
-        found = found.select(key, centre_key, squared_distance(F.col(trace), F.col(centre_trace)).alias("distance"))
-        rank = Window.partitionBy(key).orderBy("distance", centre_key)
-        return found.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= k)
-    names = blocks[0][centre_key].to_numpy()
-    table = np.stack(blocks[0][centre_trace].to_numpy()).astype(float) if len(names) else np.zeros((0, 0))
+    blocks = max(1, -(-(width[0] or 0) * width[1] // MAX_CENTRE_VALUES))
+    kinds = [rows.schema[key].dataType.simpleString(), centres.schema[centre_key].dataType.simpleString()]
+    schema = f"{key} {kinds[0]}, {centre_key} {kinds[1]}, distance double, rank int"
+    dealt = centres.select(centre_key, centre_trace, F.pmod(F.xxhash64(centre_key), F.lit(blocks)).alias("_block"))
+    found = []
+    for block in range(blocks):
+        part = dealt.where(F.col("_block") == block).orderBy(centre_key).toPandas()
+        found.append(rows.select(key, trace).mapInPandas(_nearest_of(part[centre_key].to_numpy(), part[centre_trace], key, trace, centre_key, k), schema))
+    if blocks == 1:
+        return found[0]
+    best = reduce(DataFrame.unionByName, found).drop("rank")
+    return best.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy("distance", centre_key))).where(F.col("rank") <= k)
+
+
+def _nearest_of(names: np.ndarray, traces, key: str, trace: str, centre_key: str, k: int):
+    table = np.stack(traces.to_numpy()).astype(float) if len(names) else np.zeros((0, 0))
+    step = max(1, MAX_CENTRE_VALUES // max(1, table.size))
 
     def best(batches):
         for part in batches:
             out = []
-            for start in range(0, len(part), 512):
-                piece = part.iloc[start : start + 512]
+            for start in range(0, len(part) if len(names) else 0, step):
+                piece = part.iloc[start : start + step]
                 x = np.stack(piece[trace].to_numpy()).astype(float)
                 d = ((x[:, None, :] - table[None, :, :]) ** 2).sum(2)
                 order = np.argsort(d, axis=1, kind="stable")[:, :k]
@@ -55,8 +61,7 @@ def nearest_centres(rows: DataFrame, key: str, trace: str, centres: DataFrame, c
             if out:
                 yield pd.concat(out)
 
-    kinds = [rows.schema[key].dataType.simpleString(), centres.schema[centre_key].dataType.simpleString()]
-    return rows.select(key, trace).mapInPandas(best, f"{key} {kinds[0]}, {centre_key} {kinds[1]}, distance double, rank int")
+    return best
 
 
 def top_k(rows: DataFrame, by: list[str], order: list, k: int) -> DataFrame:

@@ -2,7 +2,7 @@
 
 A pass counts values by bins of the range in which a wanted order statistic lies, with Spark's partial counts before the shuffle, so at most BINS rows
 of a wanted place are sent by a task; the bin that holds it, from its least to its greatest value, is the next range. Passes end when the bin's
-least and greatest value are equal. Groups and places are few (positions of a trace); their ranges travel with the tasks.
+least and greatest value are equal; their number is the logarithm, to the base BINS, of a range over the gaps around the wanted value. Groups and places are few (positions of a trace); their ranges travel with the tasks.
 """
 
 from __future__ import annotations

