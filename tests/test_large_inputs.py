@@ -26,3 +26,30 @@ def test_only_steps_that_may_pass_are_measured_in_full(spark, monkeypatch, categ
     passed = lambda batch: {tuple(r) for r in rules.gated(spark.createDataFrame(batch.to_pandas()).withColumn("category", F.lit(category))).collect()} if batch.num_rows else set()
     assert passed(few) == passed(every)
     assert passed(every) or category != "left"
+
+
+def curve_rows(spark, curves: list):
+    return spark.createDataFrame([(i, [float(v) for v in c]) for i, c in enumerate(curves)], "key long, curve array<double>")
+
+
+def odd_curves() -> list:
+    """Copies, points that repeat (at no distance from those that don't), ties, two numbers of points, and a heap that ends at one place."""
+    rng = np.random.default_rng(3)
+    free = [rng.normal(0, 1, 8).round(1).tolist() for _ in range(150)]
+    heap = [[*rng.normal(0, 1, 6).round(1), 2.0, 2.0] for _ in range(60)]
+    return [*free, *heap, *free[:20], *free[:5], [0, 0, 1, 1, 2, 2], [0, 0, 0, 0, 1, 1, 2, 2], [0, 0, 1, 1, 2, 2, 2, 2], *(rng.normal(0, 1, 6).tolist() for _ in range(20))]
+
+
+@pytest.mark.parametrize("block", [16, 512])
+def test_nearest_of_all_is_that_of_all_pairs(spark, monkeypatch, block):
+    from helmtrack.functions.curves import frechet_table, points_of
+    from helmtrack.operators import nearest
+
+    monkeypatch.setattr(nearest.blocked, "__defaults__", (block,))
+    made = odd_curves()
+    points = [points_of(c, 2) for c in made]
+    d = frechet_table(points, points)
+    np.fill_diagonal(d, np.inf)
+    found = {r["key"]: (r["nearest"], r["distance"]) for r in nearest.nearest_of_all(curve_rows(spark, made)).collect()}
+    assert found == {i: (int(d[i].argmin()), d[i].min()) for i in range(len(made))}
+    assert nearest.nearest_of_all(curve_rows(spark, made[:1])).count() == 0
