@@ -53,3 +53,13 @@ def test_nearest_of_all_is_that_of_all_pairs(spark, monkeypatch, block):
     found = {r["key"]: (r["nearest"], r["distance"]) for r in nearest.nearest_of_all(curve_rows(spark, made)).collect()}
     assert found == {i: (int(d[i].argmin()), d[i].min()) for i in range(len(made))}
     assert nearest.nearest_of_all(curve_rows(spark, made[:1])).count() == 0
+
+
+def test_kernels_get_pieces_of_large_batches(spark):
+    from helmtrack.functions import kinematics
+
+    rows = spark.range(3000).coalesce(1).select("id", F.array(F.col("id").cast("double"), F.lit(1.0)).alias("x"))
+    kernel = lambda x: (x[:, 0] * 2, np.full(len(x), float(len(x))))
+    found = kinematics.with_kernel(rows, ["x"], {"twice": "double", "n": "double"}, kernel).collect()
+    assert [r["twice"] for r in sorted(found)] == [2.0 * i for i in range(3000)]
+    assert max(r["n"] for r in found) <= kinematics.PIECE
