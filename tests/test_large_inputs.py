@@ -63,3 +63,45 @@ def test_kernels_get_pieces_of_large_batches(spark):
     found = kinematics.with_kernel(rows, ["x"], {"twice": "double", "n": "double"}, kernel).collect()
     assert [r["twice"] for r in sorted(found)] == [2.0 * i for i in range(3000)]
     assert max(r["n"] for r in found) <= kinematics.PIECE
+
+
+def keeping_step(n: int, points: int, width: int = 2) -> np.ndarray:
+    """Curves of which some keep step, some double back, and two hold no numbers."""
+    made = np.cumsum(np.random.default_rng(points).normal(0.4, 0.6, (n, points, width)), axis=1)
+    made[n // 2 :: 3] *= -1
+    made[3, points // 2, 0], made[7] = np.nan, np.inf
+    return made
+
+
+@pytest.mark.parametrize(("points", "width"), [(1, 2), (2, 2), (3, 1), (5, 3), (16, 2)])
+def test_tables_near_the_diagonal_are_whole_tables(monkeypatch, points, width):
+    from helmtrack.functions import curves
+
+    monkeypatch.setattr(curves, "TILE", (7, 16))
+    monkeypatch.setattr(curves, "SLICE", 50)
+    a, b = keeping_step(40, points, width), keeping_step(60, points, width)
+    assert np.array_equal(curves.squares_near(a, b), curves.squares_between(a, b), equal_nan=True)
+    assert (curves.frechet_table([np.zeros((0, width))], list(a)) == np.inf).all()
+
+
+@pytest.mark.parametrize("summed", [3, 2048])
+def test_exact_medoids_send_on_sums_only(spark, monkeypatch, summed):
+    """Not a row for each pair; equal curves have equal sums in whatever blocks they lie."""
+    from helmtrack.functions.curves import frechet_table
+    from helmtrack.operators import medoids
+
+    made = np.cumsum(np.random.default_rng(9).normal(0.3, 0.3, (45, 5, 2)), axis=1)
+    made[30:] = made[:15]
+    rows = curve_rows(spark, made.reshape(45, -1).tolist())
+    d = frechet_table(list(made), list(made))
+    monkeypatch.setattr(medoids, "SUMMED", summed)
+    monkeypatch.setattr(medoids, "pair_distances", None)
+    sums = {r["key"]: r["total"] for r in medoids._sums(rows.withColumn("cluster", F.col("key").cast("int") % 2), 2).collect()}
+    assert sums == {i: pytest.approx(d[i, i % 2 :: 2].sum()) for i in range(45)}
+    assert all(sums[i] == sums[j] for i in range(15) for j in (i + 30,))
+    labels, keys = medoids.exact_medoids(rows, 4)
+    assert keys[0] == np.round(d.sum(1), 9).argmin()
+    assert {r["key"]: (r["cluster"], r["distance"]) for r in labels.collect()} == {i: (d[i, keys].argmin(), d[i, keys].min()) for i in range(45)}
+    for c, medoid in enumerate(keys):
+        own = np.flatnonzero(d[:, keys].argmin(1) == c)
+        assert medoid == own[np.round(d[np.ix_(own, own)].sum(1), 9).argmin()]
