@@ -105,3 +105,23 @@ def test_exact_medoids_send_on_sums_only(spark, monkeypatch, summed):
     for c, medoid in enumerate(keys):
         own = np.flatnonzero(d[:, keys].argmin(1) == c)
         assert medoid == own[np.round(d[np.ix_(own, own)].sum(1), 9).argmin()]
+
+
+def test_sums_change_by_curves_that_moved(spark, monkeypatch):
+    from helmtrack.functions.curves import frechet_table
+    from helmtrack.operators import medoids
+
+    made = np.cumsum(np.random.default_rng(4).normal(0.3, 0.3, (60, 5, 2)), axis=1)
+    d = frechet_table(list(made), list(made))
+    monkeypatch.setattr(medoids, "SUMMED", 4)
+    met, sums = [], medoids._sums
+    monkeypatch.setattr(medoids, "_sums", lambda rows, width: (met.append({(r[0], r[1]): r[2] for r in rows.groupBy("cluster", "part").count().collect()}), sums(rows, width))[1])
+    rows = curve_rows(spark, made.reshape(60, -1).tolist())
+    # 0 loses few, 1 loses more than half, 2 gains and loses, 3 stays, 4 ends, 5 begins
+    old = np.repeat([0, 1, 2, 3, 4], 12)
+    new = old.copy()
+    new[:3], new[12:20], new[24:26], new[48:] = 2, 2, 0, 5
+    labelled = lambda of: rows.withColumn("cluster", F.element_at(F.array(*map(F.lit, of.tolist())), (F.col("key") + 1).cast("int")))
+    found = medoids._renewed_sums(labelled(new), medoids.kept(sums(labelled(old), 2), "test-sums"), 2)
+    assert {r["key"]: (r["cluster"], r["total"]) for r in found.collect()} == {i: (new[i], pytest.approx(d[i, new == new[i]].sum(), abs=1e-12)) for i in range(60)}
+    assert met == [{(0, 0): 9, (0, 1): 2, (0, 2): 3, (1, 1): 4, (2, 0): 10, (2, 1): 11, (2, 2): 2, (3, 0): 12, (5, 1): 12}]
