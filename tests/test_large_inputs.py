@@ -125,3 +125,63 @@ def test_sums_change_by_curves_that_moved(spark, monkeypatch):
     found = medoids._renewed_sums(labelled(new), medoids.kept(sums(labelled(old), 2), "test-sums"), 2)
     assert {r["key"]: (r["cluster"], r["total"]) for r in found.collect()} == {i: (new[i], pytest.approx(d[i, new == new[i]].sum(), abs=1e-12)) for i in range(60)}
     assert met == [{(0, 0): 9, (0, 1): 2, (0, 2): 3, (1, 1): 4, (2, 0): 10, (2, 1): 11, (2, 2): 2, (3, 0): 12, (5, 1): 12}]
+
+
+def test_nearest_curve_looks_at_all_points(spark, tmp_path):
+    """Four points spread over a trajectory have other nearest ones."""
+    import duckdb
+    from oracle import assert_same
+
+    from helmtrack.functions import curves
+    from helmtrack.plans import registry
+
+    x, y = walks(40)
+    e = np.diff(2 * y, axis=1, prepend=0.0)
+    spark.createDataFrame([(i, 0, t) for i, t in enumerate(e.tolist())], "vec_id long, label int, embedding array<double>").coalesce(1).write.parquet(str(tmp_path / "rows"))
+    duckdb.sql(f"COPY (FROM '{tmp_path}/rows/*.parquet') TO '{tmp_path}/embeddings.parquet'")
+    points = np.stack([2 * x, 2 * y], axis=2)
+    d = {n: curves.squares_between(points[:, at], points[:, at]) for n, at in ((64, range(64)), (4, curves.sampled(64, 4)))}
+    for table in d.values():
+        np.fill_diagonal(table, np.inf)
+    found = registry.QUERIES["j16_nearest_curve"](spark, str(tmp_path))
+    assert {r["vec_id"]: r["nearest"] for r in found.collect()} == dict(enumerate(d[64].argmin(1)))
+    assert (d[64].argmin(1) != d[4].argmin(1)).any()
+    assert_same(found, registry.ORACLES["j16_nearest_curve"], str(tmp_path))
+
+
+@pytest.mark.parametrize(("points", "width"), [(1, 2), (3, 1), (16, 2), (40, 2)])
+def test_squares_within_a_limit_are_whole_tables(points, width):
+    from helmtrack.functions import curves
+
+    a, b = keeping_step(40, points, width), keeping_step(60, points, width)
+    with np.errstate(invalid="ignore"):
+        d = curves.squares_between(a, b)
+        d = np.where(np.isnan(d), np.inf, d)
+        i, j = np.indices(d.shape).reshape(2, -1)
+        for limit in (np.inf, *np.quantile(d[np.isfinite(d)], [0.05, 0.5])):
+            found = curves.squares_within(a[i], b[j], np.full(len(i), limit)).reshape(d.shape)
+            assert np.array_equal(found[d <= limit], d[d <= limit]) and (found[d > limit] > limit).all()
+
+
+@pytest.mark.parametrize("part", [7, 256])
+def test_blocks_that_meet_find_the_nearest_of_all_pairs(monkeypatch, part):
+    import pyarrow as pa
+
+    from helmtrack.functions import curves
+    from helmtrack.operators import nearest
+
+    monkeypatch.setattr(nearest, "PART", part)
+    monkeypatch.setattr(nearest, "PAIRS", 100)
+    x, y = walks(90, 24)
+    points = np.stack([x, y], axis=2)
+    places = np.concatenate([points[:, ::6].mean(0) + s for s in ([0, 3.0], [0, -3.0])])
+    marks = nearest.marked(points, places)
+    d = curves.squares_between(points, points)
+    assert (np.abs(marks[:, None] - marks).max(2) <= np.sqrt(d) + 1e-5).all()
+    np.fill_diagonal(d, np.inf)
+    table = lambda at: pa.table({"key": at, "curve": points[at].reshape(len(at), -1).tolist(), "marks": marks[at].tolist()})
+    of = [nearest._Block(table(at), 2) for at in (np.arange(0, 90, 2), np.arange(1, 90, 2))]
+    for block, other in ((of[0], of[0]), (of[1], of[1]), of):
+        nearest._meet(block, other)
+    found = {k: (s, n) for block in of for k, s, n in zip(block.keys, block.square, block.nearest)}
+    assert found == {i: (d[i].min(), d[i].argmin()) for i in range(90)}
