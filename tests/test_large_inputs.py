@@ -185,3 +185,38 @@ def test_blocks_that_meet_find_the_nearest_of_all_pairs(monkeypatch, part):
         nearest._meet(block, other)
     found = {k: (s, n) for block in of for k, s, n in zip(block.keys, block.square, block.nearest)}
     assert found == {i: (d[i].min(), d[i].argmin()) for i in range(90)}
+
+
+@pytest.mark.parametrize(("points", "width"), [(1, 2), (2, 1), (16, 2), (16, 3)])
+def test_bounds_of_sums(monkeypatch, points, width):
+    from helmtrack.functions import curves
+
+    monkeypatch.setattr(curves, "BOUNDED", 16)
+    a, b = (np.delete(keeping_step(n, points, width) + 1e4, [3, 7], 0) for n in (40, 60))
+    b[:5] = a[:5]
+    d = np.sqrt(curves.squares_between(a, b))
+    for above in (False, True):
+        for found, wanted in zip(curves.bounded_sums(a, b, above), (d.sum(1), d.sum(0))):
+            assert ((found >= wanted) if above else (found <= wanted)).all()
+    assert curves.bounded_sums(a, keeping_step(60, points, width)) is None
+    assert curves.bounded_sums(a, np.concatenate([b, b], axis=1)) is None
+
+
+def test_few_curves_have_their_distances_summed(spark, monkeypatch):
+    """Of a cluster only those whose bounds leave it open."""
+    from helmtrack.functions import curves
+    from helmtrack.operators import medoids
+
+    x, y = walks(400)
+    made = np.stack([2 * x, 2 * y], axis=2)[:, curves.sampled(64, 16)]
+    d = curves.frechet_table(list(made), list(made))
+    rows = curve_rows(spark, made.reshape(400, -1).tolist()).withColumn("cluster", F.col("key").cast("int") % 2)
+    monkeypatch.setattr(medoids, "TRIED", 1)
+    tried, costs = [], medoids._costs
+    monkeypatch.setattr(medoids, "_costs", lambda some, labels, width: (tried.append(some.count()), costs(some, labels, width))[1])
+    best = [np.round(d[c::2, c::2].sum(1), 9).argmin() * 2 + c for c in (0, 1)]
+    assert medoids._chosen(rows, medoids.kept(medoids._sums(rows, 2, 64, bounds=True), "test-bounds"), 2) == {0: best[0], 1: best[1]}
+    assert sum(tried) < 40
+    nothing = rows.select("cluster", "key", F.lit(0.0).alias("total"))
+    assert medoids._chosen(rows, nothing, 2) == {0: best[0], 1: best[1]}
+    assert sum(tried) > 400
